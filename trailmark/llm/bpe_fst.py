@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .chunk_encoder import ChunkCache
 
-MAX_STATES = 60_000
+#: Kept at most: states, and pairs of tokens whose border was looked at.
+MAX_STATES, MAX_PAIRS = 200_000, 400_000
 NEVER = 1 << 40
 
 
@@ -52,7 +54,7 @@ class Transducer:
                 node = nxt
             self.token_at[node] = i
         self.spines: dict[int, tuple[list[int], list[int]] | None] = {}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -95,9 +97,7 @@ class Transducer:
 
     def _pair(self, s: int, t: int) -> bool:
         """Whether token t can follow token s: no merge across their border comes before those that build them."""
-        if (known := self.follows.get((s, t))) is not None:
-            return known
-        if len(self.follows) > 1_000_000:
+        if len(self.follows) > MAX_PAIRS:
             self.follows.clear()
         left, right = self._spine(s), self._spine(t)
         ok = left is not None and right is not None
@@ -117,29 +117,45 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-        self.follows[s, t] = ok
+        self.follows[s << 32 | t] = ok
         return ok
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple]:
         """The transition for a byte, made and kept."""
-        live, new = [], None
+        trie, token_at, inner, follows = self.trie, self.token_at, self.inner, self.follows
+        live, new, shortest = [], None, NEVER
         for node, last, out in self.members[state]:
-            nxt = self.trie.get(node << 8 | byte)
+            nxt = trie.get(node << 8 | byte)
             if nxt is None:
                 continue
-            token = self.token_at[nxt]
-            if new is None and token >= 0 and (self._pair(last, token) if last >= 0 else self._spine(token) is not None):
-                new = (0, token, (*out, token))
-            if self.inner[nxt]:
+            token = token_at[nxt]
+            if new is None and token >= 0:
+                ok = self._spine(token) is not None if last < 0 else follows.get(last << 32 | token)
+                if ok is None:
+                    ok = self._pair(last, token)
+                if ok:
+                    new = (0, token, (*out, token))
+            if inner[nxt]:
                 live.append((nxt, last, out))
+                if len(out) < shortest:
+                    shortest = len(out)
         if new is None:
             raise ValueError("the vocabulary lacks a byte")
         live.append(new)
-        agreed = 0
-        shortest = min(len(m[2]) for m in live)
-        while agreed < shortest and all(m[2][agreed] == new[2][agreed] for m in live):
-            agreed += 1
-        got = self._state(tuple((n, s, out[agreed:]) for n, s, out in live)), new[2][:agreed]
+        front = new[2]
+        agreed, shortest = 0, min(shortest, len(front))
+        while agreed < shortest:
+            token = front[agreed]
+            for m in live:
+                if m[2][agreed] != token:
+                    break
+            else:
+                agreed += 1
+                continue
+            break
+        if agreed:
+            live = [(n, s, out[agreed:]) for n, s, out in live]
+        got = self._state(tuple(live)), front[:agreed]
         self.table[state << 8 | byte] = got
         return got
 
@@ -177,8 +193,8 @@ class FstEncoder(ChunkCache):
         encode = self.fst.encode
         out: list[int] = []
         for piece in self.split(text):
-            out += encode(piece.encode("utf-8"))
-        return np.array(out, "<u2").tobytes()
+            out += encode(piece.encode())
+        return array("H", out).tobytes()
 
     def chunks(self, missing: list[str]) -> list[bytes]:
         return [self.whole(" " + c) for c in missing]

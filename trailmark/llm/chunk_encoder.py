@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Distinct chunks kept by a worker, characters encoded together, and characters of a piece of a very long text.
-MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 400_000, 1 << 20, 1 << 22
+MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 300_000, 1 << 20, 1 << 22
 _RUN = re.compile(r"\s (?:\s|\Z)")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict = {}
