@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import stage
+from . import quality_fm, stage
 from .bpe_fst import round_trip
 from .kk_packing import packed
 from .lsm_dedup import exact_duplicates
@@ -22,6 +23,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> quality_fm.Model:
+    return quality_fm.fit(_table(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows of docs that the classifier predicts as 1."""
+    return quality_fm.accepted(docs, quality_model(spark, sf_dir))
+
+
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality_fm.scored(_table(spark, sf_dir), quality_model(spark, sf_dir))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,7 +64,7 @@ def op10_lsm_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-QUERIES = {f.__name__: f for f in (op3_bpe_codec, op4_minhash_near_dedup, op6_karmarkar_karp_packing, op7_pfor_token_files, op10_lsm_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_quality_fm, op3_bpe_codec, op4_minhash_near_dedup, op6_karmarkar_karp_packing, op7_pfor_token_files, op10_lsm_exact_dedup)}
 
 ORACLES = {
     "op10_lsm_exact_dedup": f"SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256({_LOWER}) AS text_sha256 FROM documents WINDOW w AS (PARTITION BY {_LOWER})",
