@@ -16,16 +16,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.accepted(spark, docs, sf_dir)
 
 
+def _without(docs: DataFrame, gone: DataFrame, digest: str) -> DataFrame:
+    """docs without the given rows; of rows that repeat an identifier and its text one stays."""
+    once = gone.where("doc_id <=> keep_id").select("doc_id", digest).distinct()
+    other = gone.where("not (doc_id <=> keep_id)").select("doc_id", digest).distinct()
+    same = lambda t: docs["doc_id"].eqNullSafe(t["doc_id"]) & (docs[digest] == t[digest])
+    rest = docs.join(other, same(other), "left_anti").join(once, same(once), "left_anti")
+    return rest.unionByName(docs.join(once, same(once), "left_semi").dropDuplicates(["doc_id", digest]))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays: the one with the smallest doc_id."""
-    kept = exact_duplicates(docs, keep="smallest").where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    gone = exact_duplicates(docs, keep="smallest").where("not kept").select("doc_id", "keep_id", "text_sha256")
+    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), 256)
+    return _without(docs.withColumn("__digest", digest), gone.withColumnRenamed("text_sha256", "__digest"), "__digest").drop("__digest")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    gone = near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
