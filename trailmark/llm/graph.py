@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import attach
 from .stage import written
 
 
@@ -52,16 +53,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Self-loops and repeated edges do no harm; nulls are ignored; no edges give no rows.
     Each round is one join and two aggregations on narrow rows and is written to the
-    shared folder; hot centres go through map-side minima and splittable joins.
+    shared folder; hot centres go through map-side minima and a broadcast of
+    those with a thousandth of all edges, which are few.
     """
     spark = edges.sparkSession
     a, b = edges.columns[:2]
     now = written(edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).mapInArrow(_local, "u long, v long"), "edges")
-    state = None
+    state, edges_now = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = attach(both.where("v > u"), least, "u", "n", 2 * edges_now).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = written(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("w")), F.struct(F.col("v").alias("u"), F.col("m").alias("w")))).alias("e")).select("e.u", F.col("e.w").alias("v")).where("u <> v").distinct()
@@ -69,6 +71,6 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break
-        state = tuple(seen)
+        state, edges_now = tuple(seen), seen[0]
     roots = now.groupBy("v").agg(F.lit(1)).select(F.col("v").alias("node"), F.col("v").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
