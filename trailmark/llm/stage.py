@@ -33,7 +33,16 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that written() returned, once what was made of it is written itself."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_written(spark: SparkSession) -> None:
