@@ -12,6 +12,7 @@ Transitions are made when first met and kept in a table of bounded size.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from array import array
 
@@ -187,12 +188,12 @@ class FstEncoder(ChunkCache):
         self.fst = Transducer(read_ranks(path))
         if max(self.fst.tokens) > 65535:
             raise ValueError("ids beyond 16 bits")
-        self.split = regex.compile(pattern).findall
+        self.matches = regex.compile(pattern).findall
 
     def whole(self, text: str) -> bytes:
         encode = self.fst.encode
         out: list[int] = []
-        for piece in self.split(text):
+        for piece in self.matches(text):
             out += encode(piece.encode())
         return array("H", out).tobytes()
 
@@ -256,6 +257,7 @@ _kept: dict = {}
 
 def _encoder(path: str, pattern: str) -> tuple[FstEncoder, Decoder, list[str]]:
     if (path, pattern) not in _kept:
+        gc.disable()  # nothing here makes cycles, and collections would walk the tables again and again
         enc = FstEncoder(path, pattern)
         _kept[path, pattern] = enc, Decoder(enc.fst.ranks), [str(i) for i in range(max(enc.fst.tokens) + 1)]
     return _kept[path, pattern]

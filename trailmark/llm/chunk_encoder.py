@@ -8,13 +8,14 @@ are smaller than 65,536.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 #: Distinct chunks kept by a worker, characters encoded together, and characters of a piece of a very long text.
-MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 300_000, 1 << 20, 1 << 22
+MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 1_000_000, 1 << 20, 1 << 22
 _RUN = re.compile(r"\s (?:\s|\Z)")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict = {}
@@ -37,6 +38,7 @@ class ChunkCache:
 
     def __init__(self):
         self.cache: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         raise NotImplementedError
@@ -44,17 +46,42 @@ class ChunkCache:
     def chunks(self, missing: list[str]) -> list[bytes]:
         raise NotImplementedError
 
+    def split(self, text: str) -> list[str]:
+        """The chunks of a text, without their spaces; the first has none before it."""
+        return text.split(" ")
+
+    def first(self, chunk: str) -> bytes:
+        """Ids of a text's first chunk."""
+        return self.whole(chunk) if chunk else b""
+
+    def _fill(self, missing: set[str]) -> None:
+        """Put missing chunks into the cache; a word with a stop or comma is the word's ids and the mark's."""
+        cache, marked = self.cache, []
+        plain = set()
+        for c in missing:
+            if c[-1:] in self.marks and c[:-1].isalpha():
+                marked.append(c)
+                if c[:-1] not in cache:
+                    plain.add(c[:-1])
+            else:
+                plain.add(c)
+        plain = list(plain)
+        cache.update(zip(plain, self.chunks(plain), strict=True))
+        for c in marked:
+            cache[c] = cache[c[:-1]] + self.marks[c[-1]]
+
     def _some(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > MAX_CHUNKS:
             cache.clear()
-        cut = [None if _RUN.search(t) else t.split(" ") for t in texts]
+        if not self.marks:
+            self.marks = {c: self.whole(c) for c in ".,"}
+        cut = [None if _RUN.search(t) else self.split(t) for t in texts]
         missing = {c for x in cut if x for c in set(x[1:]) if c not in cache}
         if missing:
-            missing = list(missing)
-            cache.update(zip(missing, self.chunks(missing), strict=True))
+            self._fill(missing)
         get = cache.__getitem__
-        return [self.whole(t) if x is None else (self.whole(x[0]) if x[0] else b"") + b"".join(map(get, x[1:])) for t, x in zip(texts, cut, strict=True)]
+        return [self.whole(t) if x is None else self.first(x[0]) + b"".join(map(get, x[1:])) for t, x in zip(texts, cut, strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """uint16 ids of each text; null is empty."""
@@ -99,62 +126,95 @@ class LibraryEncoder(ChunkCache):
 
 
 class ByteLevelEncoder(LibraryEncoder):
-    """Byte-level vocabulary: the chunk's space is part of its first token, which shows where chunks start."""
+    """Byte-level vocabulary: the chunk's space is part of its first token, which shows where chunks start.
+
+    Chunks of letters alone are one match of the splitting pattern, so they go through a
+    copy of the tokenizer that only cuts at spaces.
+    """
 
     def __init__(self, path: str):
         super().__init__(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.leads = np.zeros(65536, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.leads[i] = token.startswith("Ġ")
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def chunks(self, missing: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(missing), 4000):
-            some = missing[a : a + 4000]
-            plain = [c for c in some if c and not c.isspace()]
-            ids = self._ids([" " + " ".join(plain)])[0] if plain else np.zeros(0, "<u2")
-            starts = np.flatnonzero(self.leads[ids])
-            if len(starts) == len(plain):
-                cuts = [*starts.tolist(), len(ids)]
-                got = {c: ids[i:j].tobytes() for c, i, j in zip(plain, cuts[:-1], cuts[1:], strict=True)}
+        got: dict[str, bytes] = {}
+        words = [c for c in missing if c.isalpha()]
+        others = [c for c in missing if not c.isalpha() and c and not c.isspace()]
+        for tokenizer, some in [(self.plain, words[a : a + 4000]) for a in range(0, len(words), 4000)] + [(self.tokenizer, others[a : a + 4000]) for a in range(0, len(others), 4000)]:
+            ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            cuts = [*np.flatnonzero(self.leads[ids]).tolist(), len(ids)]
+            if len(cuts) == len(some) + 1:
+                data = ids.tobytes()
+                got.update((c, data[2 * i : 2 * j]) for c, i, j in zip(some, cuts[:-1], cuts[1:], strict=True))
             else:
-                got = {c: i.tobytes() for c, i in zip(plain, self._ids([" " + c for c in plain]), strict=True)}
-            out += [got[c] if c in got else self.whole(" " + c) for c in some]
-        return out
+                got.update((c, i.tobytes()) for c, i in zip(some, self._ids([" " + c for c in some]), strict=True))
+        return [got[c] if c in got else self.whole(" " + c) for c in missing]
 
 
 class WordEndEncoder(LibraryEncoder):
-    """Vocabulary with word ends, which drops white space: chunks are parted by a special token."""
+    """Vocabulary with word ends, which drops white space and case: line ends and tabs count as spaces.
+
+    Lower-case Latin-1 chunks of letters alone are one word, so they go through a copy of the
+    tokenizer that only cuts at spaces; others are parted by a special token.
+    """
 
     def __init__(self, path: str, separator: str = "<|endoftext|>"):
         super().__init__(path)
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.marking = Tokenizer.from_file(path)
         self.separator = separator
         self.mark = self.marking.token_to_id(separator)
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        return super()._some([t.replace("\n", " ").replace("\t", " ") for t in texts])
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(65536, bool)
+        for token, i in self.plain.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+
+    def split(self, text: str) -> list[str]:
+        text = text.replace("\n", " ").replace("\t", " ")
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        return ["", *text.split(" ")]
 
     def chunks(self, missing: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(missing), 4000):
-            some = missing[a : a + 4000]
-            if any("<|" in c for c in some):
-                out += [i.tobytes() for i in self._ids(some)]
-                continue
-            ids = np.array(self.marking.encode_batch_fast([self.separator.join(some)], add_special_tokens=False)[0].ids, "<u2")
-            cuts = np.flatnonzero(ids == self.mark).tolist()
-            if len(cuts) != len(some) - 1:
-                out += [i.tobytes() for i in self._ids(some)]
-                continue
-            out += [ids[i + 1 : j].tobytes() for i, j in zip([-1, *cuts], [*cuts, len(ids)], strict=True)]
-        return out
+        got: dict[str, bytes] = {}
+        words = [c for c in missing if c.isalpha() and c.islower() and max(c) < "\u0100"]
+        for a in range(0, len(words), 4000):
+            some = words[a : a + 4000]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(cuts) == len(some) + 1:
+                data = ids.tobytes()
+                got.update((c, data[2 * i : 2 * j]) for c, i, j in zip(some, cuts[:-1], cuts[1:], strict=True))
+        others = [c for c in missing if c not in got]
+        for a in range(0, len(others), 4000):
+            some = others[a : a + 4000]
+            if not any("<|" in c for c in some):
+                ids = np.array(self.marking.encode_batch_fast([self.separator.join(some)], add_special_tokens=False)[0].ids, "<u2")
+                cuts = np.flatnonzero(ids == self.mark).tolist()
+                if len(cuts) == len(some) - 1:
+                    got.update((c, ids[i + 1 : j].tobytes()) for c, i, j in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True))
+                    continue
+            got.update((c, i.tobytes()) for c, i in zip(some, self._ids(some), strict=True))
+        return [got[c] for c in missing]
 
 
 def encoder(kind: type, path: str):
     """The worker's own encoder for a file; its chunks stay from task to task."""
     if (kind, path) not in _encoders:
+        gc.disable()  # nothing here makes cycles, and collections would walk the cache again and again
         _encoders[kind, path] = kind(path)
     return _encoders[kind, path]
