@@ -182,8 +182,8 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_
     ordered.mapInArrow(_write(vocabulary, end_id), "part int, shard long, before long, n_docs long, n_ids long, file binary").write.option("compression", "none").parquet(folder)
 
 
-def read_ids(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and ids (array) of each document in the files.
+def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """doc_id, start (ids of all documents before it), n_tokens, ids_crc32 and, if asked for, ids (array) of each document in the files.
 
     The counts of ids before each part are a prefix sum over as many rows as the files were written by tasks.
     """
@@ -198,6 +198,9 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for part, before, data in zip(*[batch.column(c).to_pylist() for c in ("part", "before", "file")], strict=True):
                 rows = [(doc_id, base[part] + before + begin, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids) for doc_id, begin, ids in read_shard(data)]
-                yield pa.record_batch([*[pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], pa.array([r[4] for r in rows], pa.list_(pa.int32()))], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                ids = [pa.array([r[4] for r in rows], pa.list_(pa.int32()))] if with_ids else []
+                yield pa.record_batch([*[pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], *ids], names=names)
 
-    return shards.select("part", "before", "file").mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<int>")
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
+    names = [x.split()[0] for x in schema.split(", ")]
+    return shards.select("part", "before", "file").mapInArrow(task, schema)

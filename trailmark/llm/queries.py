@@ -68,7 +68,7 @@ def op6_karmarkar_karp_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pfor_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = stage.new_path(spark, "ids")
     write_ids(_table(spark, sf_dir), folder, vocabulary("word_bpe_49k.json"))
-    return read_ids(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_ids(spark, folder, with_ids=False)
 
 
 def op8_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
