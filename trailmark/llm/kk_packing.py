@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,30 +23,31 @@ from pyspark.sql import functions as F
 from .chunk_encoder import ByteLevelEncoder, encoder
 
 GROUP, PIECE, SLACK = 24, 128, 10
+_sum = itemgetter(0)
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
     """Indices of sizes dealt to windows of near-equal sums, by the largest differencing method."""
-    heap = []
-    for i, size in enumerate(sizes):
-        sums = np.zeros(windows, np.int64)
-        sums[0] = size
-        heap.append((-size, i, sums, [[i], *[[] for _ in range(windows - 1)]]))
+    # A partial partition lists its windows that hold something, largest first; the others are empty.
+    heap = [(-size, i, [(size, [i])]) for i, size in enumerate(sizes)]
     if not heap:
         return [[] for _ in range(windows)]
     heapq.heapify(heap)
     serial = len(sizes)
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heapq.heappop(heap)
-        sums = a + b[::-1]
-        order = np.argsort(-sums, kind="stable")
-        both = [x + y if x and y else x or y for x, y in zip(in_a, reversed(in_b), strict=True)]
-        sums = sums[order]
-        heapq.heappush(heap, (int(sums[-1] - sums[0]), serial, sums, [both[k] for k in order.tolist()]))
+        a, b = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
+        if len(a) + len(b) > windows:
+            met = [(a[k][0] + b[windows - 1 - k][0], a[k][1] + b[windows - 1 - k][1]) for k in range(windows - len(b), len(a))]
+            both = a[: windows - len(b)] + met + b[: windows - len(a)]
+        else:
+            both = a + b
+        both.sort(key=_sum, reverse=True)
+        spread = both[0][0] - (both[-1][0] if len(both) == windows else 0)
+        heapq.heappush(heap, (-spread, serial, both))
         serial += 1
-    return heap[0][3]
+    got = [items for _, items in heap[0][2]]
+    return got + [[] for _ in range(windows - len(got))]
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
