@@ -39,10 +39,14 @@ class ChunkCache:
     def __init__(self):
         self.cache: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {"": b""}  # first chunks of texts, which have no space before them
 
     def whole(self, text: str) -> bytes:
         raise NotImplementedError
 
+    def wholes(self, texts: list[str]) -> list[bytes]:
+        return [self.whole(t) for t in texts]
+
     def chunks(self, missing: list[str]) -> list[bytes]:
         raise NotImplementedError
 
@@ -50,10 +54,6 @@ class ChunkCache:
         """The chunks of a text, without their spaces; the first has none before it."""
         return text.split(" ")
 
-    def first(self, chunk: str) -> bytes:
-        """Ids of a text's first chunk."""
-        return self.whole(chunk) if chunk else b""
-
     def _fill(self, missing: set[str]) -> None:
         """Put missing chunks into the cache; a word with a stop or comma is the word's ids and the mark's."""
         cache, marked = self.cache, []
@@ -77,11 +77,19 @@ class ChunkCache:
         if not self.marks:
             self.marks = {c: self.whole(c) for c in ".,"}
         cut = [None if _RUN.search(t) else self.split(t) for t in texts]
-        missing = {c for x in cut if x for c in set(x[1:]) if c not in cache}
-        if missing:
+        heads = [x[0] if x else "" for x in cut]
+        for x in cut:
+            if x:
+                del x[0]
+        if new := {h for h in heads if h not in self.heads}:
+            if len(self.heads) > MAX_CHUNKS // 8:
+                self.heads = {"": b""}
+                new = set(heads)
+            self.heads.update(zip(new, self.wholes(list(new)), strict=True))
+        if missing := set().union(*filter(None, cut)).difference(cache):
             self._fill(missing)
         get = cache.__getitem__
-        return [self.whole(t) if x is None else self.first(x[0]) + b"".join(map(get, x[1:])) for t, x in zip(texts, cut, strict=True)]
+        return [self.whole(t) if x is None else self.heads[h] + b"".join(map(get, x)) for t, h, x in zip(texts, heads, cut, strict=True)]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """uint16 ids of each text; null is empty."""
@@ -124,6 +132,9 @@ class LibraryEncoder(ChunkCache):
     def whole(self, text: str) -> bytes:
         return self._ids([text])[0].tobytes()
 
+    def wholes(self, texts: list[str]) -> list[bytes]:
+        return [x.tobytes() for x in self._ids(texts)]
+
 
 class ByteLevelEncoder(LibraryEncoder):
     """Byte-level vocabulary: the chunk's space is part of its first token, which shows where chunks start.
