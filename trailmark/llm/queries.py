@@ -20,7 +20,7 @@ def vocabulary(name: str) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return stage.text_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_html_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,3 +67,21 @@ class IdFilter:
         for at in self._positions(values.view(np.uint64), self.bits):
             ok &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return ok
+
+
+def parted(rows: DataFrame, id_col: str, wanted: IdFilter) -> tuple[DataFrame, DataFrame]:
+    """(rows whose identifier is surely not in the filter, the others); null identifiers are among the others.
+
+    So a join on few identifiers need not shuffle the many rows that it can't touch.
+    """
+    import pandas as pd
+
+    words = rows.sparkSession.sparkContext.broadcast(wanted.words)
+
+    @F.pandas_udf("boolean")
+    def may(ids: pd.Series) -> pd.Series:
+        none = ids.isna()
+        return none | pd.Series(IdFilter(words.value).passes(ids.fillna(0).to_numpy().astype(np.int64)), index=ids.index)
+
+    flagged = may(F.col(id_col).cast("bigint"))
+    return rows.where(~flagged), rows.where(flagged)

@@ -24,6 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+#: Rows of a batch handed to Python: texts are long, and both sides hold a batch in memory.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches of BATCH_ROWS rows at most."""
+    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return spark
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/trailmark-{name}-{uuid.uuid4().hex}"
 
