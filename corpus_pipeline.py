@@ -9,37 +9,40 @@ from trailmark.llm import queries, stage
 from trailmark.llm.kk_packing import packed
 from trailmark.llm.lsm_dedup import exact_duplicates
 from trailmark.llm.minhash_join import near_duplicates
+from trailmark.llm.skew import IdFilter, parted
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of sf_dir."""
+    stage.text_batches(spark)
     return queries.accepted(spark, docs, sf_dir)
 
 
-def _without(docs: DataFrame, gone: DataFrame, digest: str) -> DataFrame:
-    """docs without the given rows; of rows that repeat an identifier and its text one stays."""
-    once = gone.where("doc_id <=> keep_id").select("doc_id", digest).distinct()
-    other = gone.where("not (doc_id <=> keep_id)").select("doc_id", digest).distinct()
-    same = lambda t: docs["doc_id"].eqNullSafe(t["doc_id"]) & (docs[digest] == t[digest])
-    rest = docs.join(other, same(other), "left_anti").join(once, same(once), "left_anti")
-    return rest.unionByName(docs.join(once, same(once), "left_semi").dropDuplicates(["doc_id", digest]))
-
-
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays: the one with the smallest doc_id."""
-    gone = exact_duplicates(docs, keep="smallest").where("not kept").select("doc_id", "keep_id", "text_sha256")
-    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), 256)
-    return _without(docs.withColumn("__digest", digest), gone.withColumnRenamed("text_sha256", "__digest"), "__digest").drop("__digest")
+    """One document of each group of equal texts stays: the one with the smallest doc_id; of rows that repeat one, one."""
+    stage.text_batches(spark)
+    gone = stage.written(exact_duplicates(docs, keep="smallest").where("not kept").select("doc_id", "keep_id", F.col("text_sha256").alias("__digest")), "gone")
+    sure, doubt = parted(docs, "doc_id", IdFilter.build(gone, "doc_id"))
+    doubt = doubt.withColumn("__digest", F.sha2(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), 256))
+    once = gone.where("doc_id <=> keep_id").select("doc_id", "__digest").distinct()
+    other = gone.where("not (doc_id <=> keep_id)").select("doc_id", "__digest").distinct()
+    same = lambda t: doubt["doc_id"].eqNullSafe(t["doc_id"]) & (doubt["__digest"] == t["__digest"])
+    rest = doubt.join(other, same(other), "left_anti").join(once, same(once), "left_anti")
+    repeated = doubt.join(once, same(once), "left_semi").dropDuplicates(["doc_id", "__digest"])
+    return sure.unionByName(rest.unionByName(repeated).drop("__digest"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    stage.text_batches(spark)
+    gone = stage.written(near_duplicates(docs).where("not kept").select("doc_id"), "gone")
+    sure, doubt = parted(docs, "doc_id", IdFilter.build(gone, "doc_id"))
+    return sure.unionByName(doubt.join(gone, "doc_id", "left_anti").select(docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences of 1024 tokens."""
+    stage.text_batches(spark)
     return packed(docs, queries.vocabulary("byte_bpe_50k.json"))
 
 
