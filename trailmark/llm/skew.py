@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,8 +75,6 @@ def parted(rows: DataFrame, id_col: str, wanted: IdFilter) -> tuple[DataFrame, D
 
     So a join on few identifiers need not shuffle the many rows that it can't touch.
     """
-    import pandas as pd
-
     words = rows.sparkSession.sparkContext.broadcast(wanted.words)
 
     @F.pandas_udf("boolean")
