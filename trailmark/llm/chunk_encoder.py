@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Distinct chunks kept by a worker, characters encoded together, and characters of a piece of a very long text.
-MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 1_000_000, 1 << 20, 1 << 22
+MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 300_000, 1 << 20, 1 << 22
 _RUN = re.compile(r"\s (?:\s|\Z)")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict = {}
@@ -150,8 +150,7 @@ class ByteLevelEncoder(LibraryEncoder):
         self.leads = np.zeros(65536, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.leads[i] = token.startswith("Ġ")
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.plain = Tokenizer(self.tokenizer.model)  # shares the vocabulary
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def chunks(self, missing: list[str]) -> list[bytes]:
@@ -178,14 +177,15 @@ class WordEndEncoder(LibraryEncoder):
 
     def __init__(self, path: str, separator: str = "<|endoftext|>"):
         super().__init__(path)
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.marking = Tokenizer.from_file(path)
+        self.marking = Tokenizer(self.tokenizer.model)  # these share the vocabulary
+        self.marking.normalizer = self.tokenizer.normalizer
+        self.marking.pre_tokenizer = self.tokenizer.pre_tokenizer
+        self.marking.add_special_tokens([separator])
         self.separator = separator
         self.mark = self.marking.token_to_id(separator)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
-        self.plain.normalizer = normalizers.Sequence([])
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ends = np.zeros(65536, bool)
         for token, i in self.plain.get_vocab().items():
