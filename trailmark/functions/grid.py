@@ -37,3 +37,21 @@ def finite(x: Column) -> Column:
 
 def in_rectangle(x: Column, z: Column, x0: float, x1: float, z0: float, z1: float) -> Column:
     return x.between(x0, x1) & z.between(z0, z1)
+
+
+def region_bounds(cx: Column, cz: Column, width: float, depth: float, pad: float) -> tuple[Column, Column, Column, Column]:
+    """x0, x1, z0, z1 of a rectangle around a centre, with padding."""
+    return cx - F.lit(width / 2 + pad), cx + F.lit(width / 2 + pad), cz - F.lit(depth / 2 + pad), cz + F.lit(depth / 2 + pad)
+
+
+def to_screen(x: Column, z: Column, zoom: float, pan_x: float, pan_z: float) -> tuple[Column, Column]:
+    return (x - F.lit(pan_x)) * F.lit(zoom), (z - F.lit(pan_z)) * F.lit(zoom)
+
+
+def from_screen(u: Column, v: Column, zoom: float, pan_x: float, pan_z: float) -> tuple[Column, Column]:
+    return u / F.lit(zoom) + F.lit(pan_x), v / F.lit(zoom) + F.lit(pan_z)
+
+
+def in_grid(i: Column, j: Column, width: int, height: int) -> Column:
+    """Half-open index test."""
+    return (i >= 0) & (i < width) & (j >= 0) & (j < height)

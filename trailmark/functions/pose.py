@@ -47,3 +47,59 @@ def project(x: Column, y: Column, z: Column, fx: float, fy: float, cx: float, cy
 
 def unproject(u: Column, v: Column, depth: Column, fx: float, fy: float, cx: float, cy: float) -> tuple[Column, Column, Column]:
     return (u - F.lit(cx)) / F.lit(fx) * depth, (v - F.lit(cy)) / F.lit(fy) * depth, depth
+
+
+def rotation_from_degrees(roll: Column, pitch: Column, yaw: Column) -> Column:
+    """Rz * Ry * Rx as nine doubles in row order."""
+    cr, sr, cp, sp, cy, sy = (f(F.radians(a)) for a in (roll, pitch, yaw) for f in (F.cos, F.sin))
+    return F.array(cy * cp, cy * sp * sr - sy * cr, cy * sp * cr + sy * sr, sy * cp, sy * sp * sr + cy * cr, sy * sp * cr - cy * sr, -sp, cp * sr, cp * cr)
+
+
+#: Axes of an optical frame (right, down, forward) in a link frame (forward, left, up).
+OPTICAL_IN_LINK = ((0.0, 0.0, 1.0), (-1.0, 0.0, 0.0), (0.0, -1.0, 0.0))
+
+
+def camera_mount(x: float, y: float, z: float) -> Column:
+    """Pose of an optical frame at an offset in the base frame, turned as the base."""
+    rows = [v for row, t in zip(OPTICAL_IN_LINK, (x, y, z), strict=True) for v in (*row, t)]
+    return F.array(*[F.lit(v) for v in (*rows, 0.0, 0.0, 0.0, 1.0)])
+
+
+def intrinsics(fx: Column, fy: Column, cx: Column, cy: Column) -> Column:
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return F.array(fx, zero, cx, zero, fy, cy, zero, zero, one)
+
+
+def dot(a: list[Column], b: list[Column]) -> Column:
+    return a[0] * b[0] + a[1] * b[1] + a[2] * b[2]
+
+
+def cross(a: list[Column], b: list[Column]) -> list[Column]:
+    return [a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]]
+
+
+def unit(a: list[Column]) -> list[Column]:
+    n = F.nullif(F.sqrt(dot(a, a)), F.lit(0.0))
+    return [x / n for x in a]
+
+
+def look_at(eye: list[Column], target: list[Column], up: list[float]) -> Column:
+    """World-to-camera matrix (right, down, forward rows); another up is taken where the view is along the given one."""
+    forward = unit([t - e for t, e in zip(target, eye, strict=True)])
+    first = cross(forward, [F.lit(x) for x in up])
+    steep = F.abs(forward[1]) >= 0.9
+    other = cross(forward, [F.when(steep, 1.0).otherwise(0.0), F.when(steep, 0.0).otherwise(1.0), F.lit(0.0)])
+    along = F.sqrt(dot(first, first)) < 1e-6
+    right = unit([F.when(along, o).otherwise(f) for f, o in zip(first, other, strict=True)])
+    rows = [right, unit(cross(forward, right)), forward]
+    return F.array(*[x for row in rows for x in (*row, -dot(row, eye))], F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))
+
+
+def to_local(dx: Column, dz: Column, fx: Column, fz: Column) -> tuple[Column, Column]:
+    """A world displacement as forward and left of a heading."""
+    return fx * dx + fz * dz, fx * dz - fz * dx
+
+
+def close(a: Column, b: Column, atol: float, rtol: float = 1e-5) -> Column:
+    """Whether all entries of a are within atol + rtol * |b| of b's; false where lengths differ."""
+    return (F.size(a) == F.size(b)) & F.forall(F.zip_with(a, b, lambda x, y: F.coalesce(F.abs(x - y) <= F.lit(atol) + F.lit(rtol) * F.abs(y), F.lit(False))), lambda ok: ok)

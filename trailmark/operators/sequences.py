@@ -89,3 +89,36 @@ def smoothed(frames: DataFrame, value: str, keep: float = 0.35, group: str = "ep
     rows = frames.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("rows"))
     last = F.aggregate("rows", F.lit(0.0), lambda v, r: v * keep + r[value] * (1 - keep))
     return rows.select(group, F.size("rows").cast("bigint").alias("n"), last.alias("smoothed"))
+
+
+def motion_cosines(poses: DataFrame, group: str = "ep", order: str = "frame") -> DataFrame:
+    """group, order, dot: cosine between the heading and the step to the next frame; steps of no length are left out."""
+    d2 = F.col("dx") * F.col("dx") + F.col("dz") * F.col("dz")
+    return displacement(poses, 1, group, order).where(d2 > 1e-18).select(group, order, ((F.col("fx") * F.col("dx") + F.col("fz") * F.col("dz")) / F.sqrt(d2)).alias("dot"))
+
+
+def geometry_hash(points: DataFrame, group: str = "ep", order: str = "frame") -> DataFrame:
+    """group, h: SHA-256 of each ordered line's coordinates in units of 1e-8."""
+    unit = lambda a: F.round(F.col(a) * F.lit(1e8)).cast("bigint").cast("string")
+    rows = points.select(group, F.struct(F.col(order), F.concat_ws(",", unit("x"), unit("z")).alias("p")).alias("q"))
+    listed = rows.groupBy(group).agg(F.array_sort(F.collect_list("q")).alias("qs"))
+    return listed.select(group, F.sha2(F.array_join(F.transform("qs", lambda q: q["p"]), ";"), 256).alias("h"))
+
+
+def sampled_depths(depths: DataFrame, count: int, seed: int) -> DataFrame:
+    """frame, least, greatest of ``count`` frames drawn without replacement: those with the smallest seeded hash."""
+    frames = depths.select("frame").distinct().orderBy(F.xxhash64(F.lit(seed), "frame"), "frame").limit(count)
+    return depths.join(F.broadcast(frames), "frame").groupBy("frame").agg(F.min("metres").alias("least"), F.max("metres").alias("greatest"))
+
+
+def covered(ranges: DataFrame, first: str = "first", last: str = "last") -> DataFrame:
+    """One row: whether closed ranges cover 0..n without gap or overlap, and n.
+
+    No global order: without gaps, starts other than 0 are ends + 1, each once.
+    """
+    starts = ranges.select(F.col(first).alias("at"), F.lit(1).alias("s"), F.lit(0).alias("e"))
+    ends = ranges.select((F.col(last) + 1).alias("at"), F.lit(0).alias("s"), F.lit(1).alias("e"))
+    edges = starts.unionByName(ends).groupBy("at").agg(F.sum("s").alias("s"), F.sum("e").alias("e"))
+    lone = edges.agg(F.count_if((F.col("s") > 1) | (F.col("e") > 1) | ((F.col("s") != F.col("e")) & (F.col("at") != 0) & (F.col("e") == 0))).alias("bad"), F.count_if((F.col("s") == 0) & (F.col("e") > 0)).alias("tops"), F.max("at").alias("n"), F.min("at").alias("least"))
+    wrong = ranges.agg(F.count_if(F.col(last) < F.col(first)).alias("turned"))
+    return lone.crossJoin(wrong).select(((F.col("bad") == 0) & (F.col("tops") == 1) & (F.col("least") == 0) & (F.col("turned") == 0)).alias("covered"), "n")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.grid import decode, z_up_to_y_down
+from ..operators.sequences import offsets
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -52,7 +53,21 @@ def splats(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") * 0.2).alias("x"), (F.col("p_retailprice") / 100.0).alias("z"), F.ln(F.col("p_size") / 10.0).alias("log_scale"), ((F.col("p_retailprice") - 1200.0) / 150.0).alias("opacity_logit"))
 
 
+def rigid(spark: SparkSession, d: str) -> DataFrame:
+    """events as robot poses: ep, frame, x, z, and the unit vector (fx, fz) of its heading."""
+    yaw = F.radians(F.col("event_id") % 360)
+    return frames(spark, d).select("ep", "frame", "x", "z", F.cos(yaw).alias("fx"), F.sin(yaw).alias("fz"))
+
+
+def ranges(spark: SparkSession, d: str) -> DataFrame:
+    """events as episode ranges that cover all frames: ep, first, last."""
+    sizes = table(spark, d, "events").groupBy(F.col("user_id").alias("ep")).agg(F.count("*").alias("n"))
+    return offsets(sizes, "ep", "n").select("ep", F.col("start").cast("bigint").alias("first"), (F.col("start") + F.col("n") - 1).cast("bigint").alias("last"))
+
+
 CTES = {
+    "rigid": "rigid AS (SELECT ep, frame, x, z, cos(radians(event_id % 360)) AS fx, sin(radians(event_id % 360)) AS fz FROM frames)",
+    "ranges": "ranges AS (SELECT ep, CAST(sum(n) OVER (ORDER BY ep) - n AS BIGINT) AS first, CAST(sum(n) OVER (ORDER BY ep) - 1 AS BIGINT) AS last FROM (SELECT user_id AS ep, count(*) AS n FROM events GROUP BY 1))",
     "points": "points AS (SELECT l_partkey * 0.01::DOUBLE + 0.0::DOUBLE AS x, -(CAST(trunc(l_quantity) AS DOUBLE) * 0.05::DOUBLE) AS y, l_suppkey * 0.1::DOUBLE AS z, l_orderkey, l_tax, l_discount FROM lineitem)",
     "frames": "frames AS (SELECT user_id AS ep, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame, value AS x, (event_id % 97)::DOUBLE AS z, event_id, event_type, props FROM events)",
     "poses": "poses AS (SELECT vec_id, label, embedding[1:16]::DOUBLE[] AS a, embedding[17:32]::DOUBLE[] AS b FROM embeddings)",

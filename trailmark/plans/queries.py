@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import grid, numeric, pose
@@ -12,27 +10,11 @@ from ..operators import cells as C
 from ..operators import matching as M
 from ..operators import sequences as S
 from . import carriers as T
+from .registry import ORACLES, QUERIES, c, query, r  # noqa: F401
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-c = F.col
 W, H = 200, 100  # cells of the raster carriers: 0.1 m over x 0..20, z 0..10
 
 
-def query(name: str, sql: str | None, *ctes: str):
-    def keep(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = (T.with_(*ctes) if ctes else "") + sql
-        return f
-
-    return keep
-
-
-def r(x, digits: int = 6):
-    return F.round(x, digits)
-
-
 # Projections and scalar mathematics
 
 
@@ -479,3 +461,6 @@ def v07(s, d):
 def v10(s, d):
     ok = (F.size("embedding") == 64) & F.forall("embedding", grid.finite)
     return T.table(s, d, "embeddings").select("vec_id", ok.alias("valid"))
+
+
+from . import manifests, poses, rasters  # noqa: E402,F401  they add theirs
