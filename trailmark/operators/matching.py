@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Cell tables below this many rows may be broadcast.
@@ -57,3 +57,40 @@ def positional(left: DataFrame, right: DataFrame, left_order: str, right_order:
 def zbuffer(pixels: DataFrame, *value: str) -> DataFrame:
     """Per (u, v) the nearest depth and what lies there; ties take the smallest value."""
     return pixels.groupBy("u", "v").agg(F.min(F.struct("depth", *value)).alias("p")).select("u", "v", "p.*")
+
+
+def stale(expected: dict[str, Column]) -> Column:
+    """Whether any of the named expressions differs from what is expected; nulls are equal to nulls."""
+    same = None
+    for name, value in expected.items():
+        one = F.expr(name).eqNullSafe(value)
+        same = one if same is None else same & one
+    return ~same
+
+
+def matched(entries: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """One row: entries, how many have a file, and whether all have one."""
+    found = files.select(key).distinct().withColumn("__found", F.lit(1))
+    both = entries.select(key).join(found, key, "left").agg(F.count("*").alias("entries"), F.count("__found").alias("matched"))
+    return both.withColumn("complete", F.col("entries") == F.col("matched"))
+
+
+def at_least_or_best(rows: DataFrame, column: str, limit: float) -> DataFrame:
+    """Rows whose value reaches the limit; where none does, those with the greatest."""
+    best = rows.agg(F.least(F.max(column), F.lit(limit)).alias("__bar"))
+    return rows.join(F.broadcast(best), F.col(column) >= F.col("__bar")).drop("__bar")
+
+
+def stage_status(ids: DataFrame, camera: DataFrame, rendered: DataFrame) -> DataFrame:
+    """id and status: rendered needs both stages, camera the first, others are pending."""
+    mark = lambda t, name: t.select("id").distinct().withColumn(name, F.lit(True))
+    both = ids.join(mark(camera, "camera"), "id", "left").join(mark(rendered, "rendered"), "id", "left")
+    return both.select("id", F.when(F.col("rendered") & F.col("camera"), "rendered").when(F.col("camera"), "camera").otherwise("pending").alias("status"))
+
+
+def agreement(rows: DataFrame, history: DataFrame, exact: str, rounded: str) -> DataFrame:
+    """One row: rows that only one of two hashes finds in the history, and all rows."""
+    mark = lambda key, name: history.select(F.col(key).alias(f"__{name}")).distinct().withColumn(name, F.lit(True))
+    both = rows.join(mark(exact, "by_exact"), F.col(exact) == F.col("__by_exact"), "left").join(mark(rounded, "by_rounded"), F.col(rounded) == F.col("__by_rounded"), "left")
+    differ = ~F.col("by_exact").eqNullSafe(F.col("by_rounded"))
+    return both.agg(F.count_if(differ).alias("disagreements"), F.count("*").alias("n"))

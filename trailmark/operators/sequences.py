@@ -122,3 +122,28 @@ def covered(ranges: DataFrame, first: str = "first", last: str = "last") -> Data
     lone = edges.agg(F.count_if((F.col("s") > 1) | (F.col("e") > 1) | ((F.col("s") != F.col("e")) & (F.col("at") != 0) & (F.col("e") == 0))).alias("bad"), F.count_if((F.col("s") == 0) & (F.col("e") > 0)).alias("tops"), F.max("at").alias("n"), F.min("at").alias("least"))
     wrong = ranges.agg(F.count_if(F.col(last) < F.col(first)).alias("turned"))
     return lone.crossJoin(wrong).select(((F.col("bad") == 0) & (F.col("tops") == 1) & (F.col("least") == 0) & (F.col("turned") == 0)).alias("covered"), "n")
+
+
+def first_seen(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """key and the least order of each key; partial aggregates, no sort."""
+    return rows.groupBy(key).agg(F.min(order).alias(order))
+
+
+def ordinals(rows: DataFrame, order: str) -> DataFrame:
+    """Rows with their global position (ordinal) by a unique key; sorted by ranges, with a prefix sum over as many rows as ranges."""
+    one = rows.withColumn("__one", F.lit(1).cast("bigint"))
+    return offsets(one, order, "__one").withColumnRenamed("start", "ordinal").withColumn("ordinal", F.col("ordinal").cast("bigint")).drop("__one")
+
+
+def evenly_spaced(rows: DataFrame, order: str, count: int) -> DataFrame:
+    """Rows at ``count`` evenly spaced positions k from the first to the last."""
+    at = rows.sparkSession.range(count).withColumnRenamed("id", "t")
+    size = rows.agg(F.count("*").alias("n"))
+    step = F.floor(F.col("t") * (F.col("n") - 1) / F.lit(float(max(1, count - 1)))).cast("bigint")
+    wanted = at.crossJoin(F.broadcast(size)).where("n > 0").select(step.alias("k")).distinct()
+    return ordinals(rows, order).withColumnRenamed("ordinal", "k").join(F.broadcast(wanted), "k", "left_semi")
+
+
+def seeded_pick(rows: DataFrame, key: str, count: int, seed: int) -> DataFrame:
+    """``count`` rows without replacement, the same for the same seed however the rows are partitioned."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(count)
