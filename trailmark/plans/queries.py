@@ -431,7 +431,7 @@ def r07(s, d):
     return C.nearest_distance(C.grid(s, W, H), inside_cells(s, d), 5, 0.1).select("i", "j", r(c("distance_m")).alias("distance_m"))
 
 
-@query("r08_polygon_cells", None)
+@query("r08_polygon_cells", f"SELECT i, j FROM (SELECT i, j, (i + 0.5::DOUBLE) * 0.1::DOUBLE AS x, (j + 0.5::DOUBLE) * 0.1::DOUBLE AS z FROM range(0, {W}) a(i), range(0, {H}) b(j)) WHERE 6 * (z - 1) - 1 * (x - 2) >= -1e-9 AND -2 * (z - 2) - 4 * (x - 8) >= -1e-9 AND -4 * (z - 6) + 5 * (x - 6) >= -1e-9")
 def r08(s, d):
     return C.grid(s, W, H).where(C.in_polygon(grid.cell_centre(c("i"), 0.0, 0.1), grid.cell_centre(c("j"), 0.0, 0.1), POLYGON))
 
