@@ -154,7 +154,10 @@ def test_codec(spark, docs, empty):
 def test_chunk_encoders_equal_the_library():
     from tokenizers import Tokenizer
 
+    rng = random.Random(4)
     texts = odd_texts(3000, 9) + ["Don't stop. It's fine, no?  Yes\n\n x"] * 2
+    texts += ["".join(rng.choice(["a", "Bc", ". ", ", ", " , ", " .", "..", "\0", "\0,", "İ", "é", "1", " ", "\n"]) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    texts += [a + chr(i) + b for i in range(256) for a in ("a", "1 ", " ", ".") for b in ("b", " b", "", "\n")]
     for kind, name in ((ByteLevelEncoder, "byte_bpe_50k.json"), (WordEndEncoder, "word_bpe_49k.json")):
         t = Tokenizer.from_file(P.path(name))
         t.encode_special_tokens = True

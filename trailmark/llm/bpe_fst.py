@@ -197,8 +197,8 @@ class FstEncoder(ChunkCache):
             out += encode(piece.encode())
         return array("H", out).tobytes()
 
-    def chunks(self, missing: list[str]) -> list[bytes]:
-        return [self.whole(" " + c) for c in missing]
+    def chunk(self, chunk: str) -> bytes:
+        return self.whole(" " + chunk)
 
 
 class Utf8Machine:

@@ -17,7 +17,13 @@ import numpy as np
 #: Distinct chunks kept by a worker, characters encoded together, and characters of a piece of a very long text.
 MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 300_000, 1 << 20, 1 << 22
 _RUN = re.compile(r"\s (?:\s|\Z)")
+#: A stop or comma between a letter and a space is a chunk of its own, shown by a NUL; texts with a NUL go to the library whole.
+_MARK = re.compile(r"[.,](?= )(?<=[A-Za-z].)")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, numbers and white space of Latin-1.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+#: A byte's character in byte-level vocabularies: itself if it prints, else the next one from U+0100.
+_BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 _encoders: dict = {}
 
 
@@ -33,63 +39,58 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class Kept(dict):
+    """Values made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        got = self[key] = self.make(key)
+        return got
+
+
 class ChunkCache:
-    """encode(texts) for subclasses that can encode whole texts and lists of chunks."""
+    """encode(texts) for subclasses that can encode whole texts and single chunks."""
 
     def __init__(self):
-        self.cache: dict[str, bytes] = {}
+        self.cache = Kept(self._made)
+        self.heads = Kept(self.whole)  # first chunks of texts, which have no space before them
         self.marks: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {"": b""}  # first chunks of texts, which have no space before them
 
     def whole(self, text: str) -> bytes:
         raise NotImplementedError
 
-    def wholes(self, texts: list[str]) -> list[bytes]:
-        return [self.whole(t) for t in texts]
-
-    def chunks(self, missing: list[str]) -> list[bytes]:
+    def chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk, given without its space."""
         raise NotImplementedError
 
     def split(self, text: str) -> list[str]:
         """The chunks of a text, without their spaces; the first has none before it."""
-        return text.split(" ")
-
-    def _fill(self, missing: set[str]) -> None:
-        """Put missing chunks into the cache; a word with a stop or comma is the word's ids and the mark's."""
-        cache, marked = self.cache, []
-        plain = set()
-        for c in missing:
-            if c[-1:] in self.marks and c[:-1].isalpha():
-                marked.append(c)
-                if c[:-1] not in cache:
-                    plain.add(c[:-1])
-            else:
-                plain.add(c)
-        plain = list(plain)
-        cache.update(zip(plain, self.chunks(plain), strict=True))
-        for c in marked:
-            cache[c] = cache[c[:-1]] + self.marks[c[-1]]
+        return _MARK.sub(r" \0\g<0>", text).split(" ")
+
+    def _made(self, chunk: str) -> bytes:
+        """A word with a stop or comma is the word's ids and the mark's, unless lower case adds a mark to the word."""
+        if chunk[-1:] in self.marks and chunk[:-1].isalpha() and chunk.lower()[:-1].isalpha():
+            return self.cache[chunk[:-1]] + self.marks[chunk[-1]]
+        return self.chunk(chunk)
 
     def _some(self, texts: list[str]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > MAX_CHUNKS:
-            cache.clear()
+        for kept, most in ((self.cache, MAX_CHUNKS), (self.heads, MAX_CHUNKS // 8)):
+            if len(kept) > most:
+                kept.clear()
         if not self.marks:
             self.marks = {c: self.whole(c) for c in ".,"}
-        cut = [None if _RUN.search(t) else self.split(t) for t in texts]
-        heads = [x[0] if x else "" for x in cut]
-        for x in cut:
-            if x:
-                del x[0]
-        if new := {h for h in heads if h not in self.heads}:
-            if len(self.heads) > MAX_CHUNKS // 8:
-                self.heads = {"": b""}
-                new = set(heads)
-            self.heads.update(zip(new, self.wholes(list(new)), strict=True))
-        if missing := set().union(*filter(None, cut)).difference(cache):
-            self._fill(missing)
-        get = cache.__getitem__
-        return [self.whole(t) if x is None else self.heads[h] + b"".join(map(get, x)) for t, h, x in zip(texts, heads, cut, strict=True)]
+        self.cache.update(("\0" + c, ids) for c, ids in self.marks.items())
+        get, out = self.cache.__getitem__, []
+        for text in texts:
+            if "\0" in text or _RUN.search(text):
+                out.append(self.whole(text))
+            else:
+                head, *rest = self.split(text)
+                out.append(self.heads[head] + b"".join(map(get, rest)))
+        return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """uint16 ids of each text; null is empty."""
@@ -115,7 +116,14 @@ class ChunkCache:
 
 
 class LibraryEncoder(ChunkCache):
-    """By the tokenizers library; strings of special tokens in a text are ordinary text."""
+    """By the tokenizers library; strings of special tokens in a text are ordinary text.
+
+    Chunks of Latin-1 are cut into matches of the file's splitting pattern here, and the library's
+    model encodes each match: its normalizers and pre-tokenizers cost several times what the model does.
+    """
+
+    #: The file's splitting pattern, with the classes that it has in Latin-1.
+    pattern = ""
 
     def __init__(self, path: str):
         super().__init__()
@@ -125,71 +133,56 @@ class LibraryEncoder(ChunkCache):
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u2") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.tokens = self.tokenizer.model.tokenize
+        self.two = [i.to_bytes(2, "little") for i in range(65536)]
+        self.matches = re.compile(self.pattern).findall
+        self.parts = Kept(self.piece)
 
     def whole(self, text: str) -> bytes:
-        return self._ids([text])[0].tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
 
-    def wholes(self, texts: list[str]) -> list[bytes]:
-        return [x.tobytes() for x in self._ids(texts)]
+    def piece(self, match: str) -> bytes:
+        """The ids of one match, by the library's model."""
+        if match.isascii() and match.isprintable():
+            match = match.replace(" ", _BYTE_CHARS[32])
+        else:
+            match = match.encode().decode("latin-1").translate(_BYTE_CHARS)
+        two = self.two
+        return b"".join([two[t.id] for t in self.tokens(match)])
+
+    def _pieces(self, text: str) -> bytes:
+        if len(self.parts) > MAX_CHUNKS // 8:
+            self.parts.clear()
+        return b"".join(map(self.parts.__getitem__, self.matches(text)))
 
 
 class ByteLevelEncoder(LibraryEncoder):
-    """Byte-level vocabulary: the chunk's space is part of its first token, which shows where chunks start.
+    """Byte-level vocabulary: the chunk's space is part of its first token."""
 
-    Chunks of letters alone are one match of the splitting pattern, so they go through a
-    copy of the tokenizer that only cuts at spaces.
-    """
+    def _made(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            two = self.two
+            return b"".join([two[t.id] for t in self.tokens("Ġ" + chunk)])
+        return super()._made(chunk)
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.leads = np.zeros(65536, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.leads[i] = token.startswith("Ġ")
-        self.plain = Tokenizer(self.tokenizer.model)  # shares the vocabulary
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "merged_with_next"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-
-    def chunks(self, missing: list[str]) -> list[bytes]:
-        got: dict[str, bytes] = {}
-        words = [c for c in missing if c.isalpha()]
-        others = [c for c in missing if not c.isalpha() and c and not c.isspace()]
-        for tokenizer, some in [(self.plain, words[a : a + 4000]) for a in range(0, len(words), 4000)] + [(self.tokenizer, others[a : a + 4000]) for a in range(0, len(others), 4000)]:
-            ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u2")
-            cuts = [*np.flatnonzero(self.leads[ids]).tolist(), len(ids)]
-            if len(cuts) == len(some) + 1:
-                data = ids.tobytes()
-                got.update((c, data[2 * i : 2 * j]) for c, i, j in zip(some, cuts[:-1], cuts[1:], strict=True))
-            else:
-                got.update((c, i.tobytes()) for c, i in zip(some, self._ids([" " + c for c in some]), strict=True))
-        return [got[c] if c in got else self.whole(" " + c) for c in missing]
+    pattern = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+
+    def chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and max(chunk) < "\u0500":  # letters in every version of Unicode
+            return self.piece(" " + chunk)
+        return self._pieces(" " + chunk) if max(chunk, default="") < "\u0100" else self.whole(" " + chunk)
 
 
 class WordEndEncoder(LibraryEncoder):
-    """Vocabulary with word ends, which drops white space and case: line ends and tabs count as spaces.
+    """Vocabulary with word ends, which drops white space and case: line ends and tabs count as spaces."""
 
-    Lower-case Latin-1 chunks of letters alone are one word, so they go through a copy of the
-    tokenizer that only cuts at spaces; others are parted by a special token.
-    """
+    def _made(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            two = self.two
+            return b"".join([two[t.id] for t in self.tokens(chunk.lower())])
+        return super()._made(chunk)
 
-    def __init__(self, path: str, separator: str = "<|endoftext|>"):
-        super().__init__(path)
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.marking = Tokenizer(self.tokenizer.model)  # these share the vocabulary
-        self.marking.normalizer = self.tokenizer.normalizer
-        self.marking.pre_tokenizer = self.tokenizer.pre_tokenizer
-        self.marking.add_special_tokens([separator])
-        self.separator = separator
-        self.mark = self.marking.token_to_id(separator)
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.ends = np.zeros(65536, bool)
-        for token, i in self.plain.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
+    pattern = f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+"
 
     def split(self, text: str) -> list[str]:
         text = text.replace("\n", " ").replace("\t", " ")
@@ -198,29 +191,12 @@ class WordEndEncoder(LibraryEncoder):
             text = text.lower()
         except UnicodeEncodeError:
             pass
-        return ["", *text.split(" ")]
-
-    def chunks(self, missing: list[str]) -> list[bytes]:
-        got: dict[str, bytes] = {}
-        words = [c for c in missing if c.isalpha() and c.islower() and max(c) < "\u0100"]
-        for a in range(0, len(words), 4000):
-            some = words[a : a + 4000]
-            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
-            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            if len(cuts) == len(some) + 1:
-                data = ids.tobytes()
-                got.update((c, data[2 * i : 2 * j]) for c, i, j in zip(some, cuts[:-1], cuts[1:], strict=True))
-        others = [c for c in missing if c not in got]
-        for a in range(0, len(others), 4000):
-            some = others[a : a + 4000]
-            if not any("<|" in c for c in some):
-                ids = np.array(self.marking.encode_batch_fast([self.separator.join(some)], add_special_tokens=False)[0].ids, "<u2")
-                cuts = np.flatnonzero(ids == self.mark).tolist()
-                if len(cuts) == len(some) - 1:
-                    got.update((c, ids[i + 1 : j].tobytes()) for c, i, j in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True))
-                    continue
-            got.update((c, i.tobytes()) for c, i in zip(some, self._ids(some), strict=True))
-        return [got[c] for c in missing]
+        return ["", *super().split(text)]
+
+    def chunk(self, chunk: str) -> bytes:
+        if max(chunk, default="") >= "\u0100":
+            return self.whole(chunk)
+        return self.piece(chunk.lower()) if chunk.isalpha() else self._pieces(chunk.lower())
 
 
 def encoder(kind: type, path: str):
