@@ -301,6 +301,15 @@ def test_language_model_beats_its_base(spark, sf):
     assert rows[0] > 0.9 * rows[1]
 
 
+def test_language_model_knows_rare_contexts(spark):
+    """A word that holds far less than 1/256 of the tokens still tells the next one."""
+    rows = [(3 * i, " ".join(f"w{(i * 7 + k * 13) % 900} w{(i * 7 + k * 13) % 900 + 1000}" for k in range(60))) for i in range(60)]
+    rows += [(1, " ".join(f"w{k} w{k + 1000}" for k in range(0, 900, 9))), (2, " ".join(f"w{k} w{(k + 450) % 900 + 1000}" for k in range(0, 900, 9)))]
+    got = {r.doc_id: r for r in pitman_yor.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id").isin(1, 2)).collect()}
+    assert got[1].n_known == got[2].n_known == 201 and got[1].train_tokens == 60 * 121
+    assert got[1].score - got[2].score > 100  # the same words but for the pairs; without contexts the scores are equal
+
+
 def test_seating_is_consistent():
     rng = np.random.default_rng(1)
     counts = rng.integers(2, 50, 300)
