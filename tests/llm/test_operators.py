@@ -279,6 +279,31 @@ def test_fingerprint_retries(spark, docs, monkeypatch):
         assert sorted(map(tuple, iblt.fingerprints(df).select("doc_id", "near_edited", "near_next").collect())) == want
 
 
+def test_fingerprints_recover_paragraphs(spark, docs, monkeypatch):
+    df, rows = docs
+    down = sorted(rows, reverse=True)
+    texts = {}
+    for k, (i, t) in enumerate(down):
+        after, cut = down[(k + 1) % len(down)][1], len(t) // 3
+        texts[i] = (t, t[: len(t) - cut] + after[:cut], after)
+    table = spark.createDataFrame([(i, *x) for i, x in texts.items()], "doc_id long, t string, e string, n string")
+    digests = {r[0]: [collections.Counter(x) for x in r[1:]] for r in table.select("doc_id", *[iblt.digests(F.col(x)) for x in "ten"]).collect()}
+
+    def more(x, y):
+        return sorted((k, x[k] - y[k]) for k in x | y if x[k] != y[k])
+
+    for attempts in (iblt.ATTEMPTS, ((0.01, 1),)):
+        monkeypatch.setattr(iblt, "ATTEMPTS", attempts)
+        for r in iblt.fingerprints(df).collect():
+            t, e, n = digests[r.doc_id]
+            assert [tuple(x) for x in r.edited_differs] == more(t, e) and [tuple(x) for x in r.next_differs] == more(t, n)
+            for print_, keys in ((r.fingerprint, t), (r.edited_fingerprint, e)):
+                m, cells = print_.split(":")
+                cells = [[int(y, 16) for y in x.split(".")] for x in cells.split("-") if x]
+                assert int(m, 16) >= max(4, attempts[0][0] * sum(keys.values())) and sum(x[1] for x in cells) == 3 * sum(keys.values())
+                assert sum(x[2] for x in cells) % 2**64 == 3 * sum(k * v for k, v in keys.items()) % 2**64
+
+
 def test_language_model(spark, docs, empty, hard):
     df, rows = docs
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2

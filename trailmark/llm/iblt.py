@@ -3,7 +3,10 @@
 A paragraph is a line with the line ends after it; a longer line is cut every PARAGRAPH code points.  A sketch has three
 sub-tables; each digest adds one to the count of its cell in each, and itself and its check to the cell's sums, so
 repeated paragraphs count as often as they occur.  The sketch of one text minus that of another holds the difference; peeling
-takes digests from cells that hold one digest only, a sub-table at a time, until no cell is left.  Where some are left,
+takes digests from cells that hold one digest only, a sub-table at a time, until no cell is left, and gives them with their copies,
+negative for the other text's.  A sub-table has a power of two of cells, by the paragraphs of the text; a pair of texts is
+compared in the size of the larger one, so where both have that size it is the returned sketches that are subtracted (sums of
+digests are linear, so they are made of the digests of both at once).  Where cells are left,
 the pair is tried again with a larger table and other hashes.
 
 Rows meet their neighbour by a window over ranges of identifiers; each range also gets the first row of the next range.
@@ -21,8 +24,8 @@ from pyspark.sql import functions as F
 from .stage import written
 
 PARAGRAPH, ROWS_PER_RANGE, SIDE = 120, 1000, 256
-#: Cells of a sub-table for each paragraph of a pair, and peeled sub-tables, of each attempt.
-ATTEMPTS = ((0.8, 9), (1.6, 12), (3.2, 15), (6.4, 18), (12.8, 24))
+#: Least cells of a sub-table for each paragraph of a pair's larger text, and peeled sub-tables, of each attempt.
+ATTEMPTS = ((1.6, 9), (3.2, 12), (6.4, 15), (12.8, 18), (25.6, 24))
 LEAST = -(2**63)
 
 
@@ -31,16 +34,6 @@ def digests(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PARAGRAPH}}}\n*|\n+"), F.lit(0)), lambda p: F.shiftright(F.xxhash64(p), 32).cast("int"))
 
 
-def fingerprint(keys: Column) -> Column:
-    """The smallest sketch, of three cells in each sub-table, as text: count and sum of each cell in hexadecimal."""
-
-    def one(sub: int, cell: int) -> Column:
-        own = F.filter(keys, lambda x: F.pmod(F.xxhash64(x, F.lit(sub)), F.lit(3)) == cell)
-        return F.concat(F.hex(F.size(own)), F.lit("."), F.hex(F.aggregate(own, F.lit(0).cast("long"), lambda s, x: s + x)))
-
-    return F.concat_ws("-", *[one(sub, cell) for sub in range(3) for cell in range(3)])
-
-
 def _range_of(key: Column, bounds: list[int]) -> Column:
     """The number of bounds at or below a key, by two short searches."""
     if not bounds:
@@ -85,47 +78,80 @@ def _check(key: str, seed: int) -> str:
     return f"shiftright(xxhash64({key}, {seed + 1000}), 32)"
 
 
+def _cells_for(paragraphs: str, factor: float) -> Column:
+    """Cells of a sub-table: a power of two, 4 at least."""
+    return F.expr(f"cast(greatest(4, power(2, ceil(log2(greatest(1, {factor} * {paragraphs}))))) as int)").alias("m")
+
+
+def _cells(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """The cells that hold something, of items (keys with m, key, sign)."""
+    put = ", ".join(f"{s} * m + {_position('key', str(s), seed)}" for s in range(3))
+    cells = items.select(*keys, "sign", "key", F.expr(_check("key", seed)).alias("chk"), F.expr(f"explode(array({put}))").alias("cell"))
+    cells = cells.groupBy(*keys, "cell").agg(F.sum("sign").alias("c"), F.sum(F.expr("sign * key")).alias("k"), F.sum(F.expr("sign * chk")).alias("q"))
+    return cells.where("c <> 0 or k <> 0 or q <> 0")
+
+
+def sketches(table: DataFrame, columns: list[str]) -> DataFrame:
+    """Per (range, rn) with any digest: the sketch of each array named, as text, null if it is empty.
+
+    Cells of a sub-table, then each cell that holds something: its number, count, sum and check sum in hexadecimal.
+    """
+    keys = ["range", "rn", "side", "m"]
+    items = table.select("range", "rn", F.posexplode(F.array(*columns)).alias("side", "own"))
+    items = items.select("range", "rn", "side", _cells_for("size(own)", ATTEMPTS[0][0]), F.explode("own").alias("key"))
+    items = items.withColumns({"key": F.col("key").cast("long"), "sign": F.lit(1).cast("long")})
+    cells = _cells(items, keys, 0)
+    text = "struct(cell, m, concat_ws('.', hex(cell), hex(c), hex(k), hex(q)) as t)"
+    lists = [F.array_sort(F.collect_list(F.expr(f"if(side = {n}, {text}, null)"))).alias(f"s{n}") for n in range(len(columns))]
+    whole = [F.expr(f"if(size(s{n}) > 0, concat(hex(s{n}[0].m), ':', array_join(transform(s{n}, x -> x.t), '-')), null) as s{n}") for n in range(len(columns))]
+    return cells.groupBy("range", "rn").agg(*lists).select("range", "rn", *whole)
+
+
+_SIGNED = "concat(transform(plus, x -> struct(x as key, 1 as sign)), transform(minus, x -> struct(x as key, -1 as sign)))"
+#: A digest that was taken is kept as a cell below 0.
+_TAKEN = "(-1 - own - 2147483648)"
+_DIGEST = "cast(-1 - cell - 2147483648 as int)"
+
+
 def _peeled(pairs: DataFrame, factor: float, rounds: int, seed: int) -> DataFrame:
-    """Per (range, rn, pair) that differs: d, the copies of paragraphs recovered, and stuck, the cells left.
+    """Per (range, rn, pair) that differs: found, the digests recovered with their copies, and stuck, the cells left.
 
     pairs: range, rn, pair, plus and minus (arrays of digests).  All steps keep the partitioning by range.
     """
     keys = ["range", "rn", "pair", "m"]
-    items = pairs.select("range", "rn", "pair", F.expr(f"cast(greatest(4, ceil({factor} * (size(plus) + size(minus)))) as int)").alias("m"), F.explode(F.expr("concat(transform(plus, x -> struct(x as key, 1 as sign)), transform(minus, x -> struct(x as key, -1 as sign)))")).alias("i"))
-    items = items.select(*keys, F.col("i.key").cast("long").alias("key"), F.col("i.sign").cast("long").alias("sign"))
-    put = ", ".join(f"{s} * m + {_position('key', str(s), seed)}" for s in range(3))
-    cells = items.select(*keys, "sign", "key", F.expr(_check("key", seed)).alias("chk"), F.expr(f"explode(array({put}))").alias("cell"))
-    cells = cells.groupBy(*keys, "cell").agg(F.sum("sign").alias("c"), F.sum(F.expr("sign * key")).alias("k"), F.sum(F.expr("sign * chk")).alias("q"))
-    cells = cells.where("c <> 0 or k <> 0 or q <> 0")
+    items = pairs.select("range", "rn", "pair", _cells_for("greatest(size(plus), size(minus))", factor), F.explode(F.expr(_SIGNED)).alias("i"))
+    cells = _cells(items.select(*keys, F.col("i.key").cast("long").alias("key"), F.col("i.sign").cast("long").alias("sign")), keys, seed)
     for r in range(rounds):
         s = r % 3
         cells = cells.withColumn("own", F.expr("k div nullif(c, 0)"))
-        pure = f"cell >= 0 and cell div m = {s} and c <> 0 and own * c = k and {_check('own', seed)} * c = q and {s} * m + {_position('own', str(s), seed)} = cell"
+        pure = f"cell >= 0 and cell div m = {s} and c <> 0 and own * c = k and own between -2147483648 and 2147483647 and {_check('own', seed)} * c = q and {s} * m + {_position('own', str(s), seed)} = cell"
         others = ", ".join(f"struct({o} * m + {_position('own', str(o), seed)} as cell, -c as c, -k as k, -q as q)" for o in range(3) if o != s)
-        step = f"explode(if({pure}, array(struct(-1L as cell, abs(c) as c, 0L as k, 0L as q), {others}), array(struct(cell, c, k, q))))"
+        step = f"explode(if({pure}, array(struct({_TAKEN} as cell, c, 0L as k, 0L as q), {others}), array(struct(cell, c, k, q))))"
         cells = cells.select(*keys, F.expr(step).alias("x")).select(*keys, "x.*")
-        cells = cells.groupBy(*keys, "cell").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("q").alias("q")).where("cell = -1 or c <> 0 or k <> 0 or q <> 0")
-    return cells.groupBy("range", "rn", "pair").agg(F.sum(F.expr("if(cell = -1, c, 0)")).alias("d"), F.count_if(F.col("cell") >= 0).alias("stuck"))
+        cells = cells.groupBy(*keys, "cell").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("q").alias("q")).where("c <> 0 or k <> 0 or q <> 0")
+    found = F.collect_list(F.expr(f"if(cell < 0, struct({_DIGEST} as digest, cast(c as int) as copies), null)"))
+    return cells.groupBy("range", "rn", "pair").agg(F.array_sort(found).alias("found"), F.count_if(F.col("cell") >= 0).alias("stuck"))
 
 
 def differences(table: DataFrame, left: str, right: list[str]) -> DataFrame:
-    """For each row of a table bucketed by range (range, rn, arrays of digests) and each array named in right: pair (its place), d.
+    """For each row of a table bucketed by range (range, rn, arrays of digests) and each array named in right: pair (its place), found.
 
-    d counts the paragraphs, with their copies, that only one of the two has; pairs without any are left out.
+    found has the digests of which one of the two has more, in order, and how many more: above 0 for left, below for right;
+    pairs without any are left out.
     """
     pairs = table.select("range", "rn", F.col(left).alias("plus"), F.posexplode(F.array(*right)).alias("pair", "minus"))
     out, todo = [], pairs
     for seed, (factor, rounds) in enumerate(ATTEMPTS):
         got = written(_peeled(todo, factor, rounds, seed), "peeled")
-        out.append(got.where("stuck = 0").select("range", "rn", "pair", "d"))
+        out.append(got.where("stuck = 0").select("range", "rn", "pair", "found"))
         stuck = got.where("stuck > 0").select("range", "rn", "pair")
         if not stuck.limit(1).count():
             break
         todo = pairs.join(stuck, ["range", "rn", "pair"], "left_semi")
     else:  # practically never: what no table could tell apart is counted from the digests
-        rest = todo.select("range", "rn", "pair", F.explode(F.expr("concat(transform(plus, x -> struct(x as key, 1 as sign)), transform(minus, x -> struct(x as key, -1 as sign)))")).alias("i"))
-        rest = rest.groupBy("range", "rn", "pair", "i.key").agg(F.abs(F.sum("i.sign")).alias("n"))
-        out.append(rest.groupBy("range", "rn", "pair").agg(F.sum("n").alias("d")))
+        rest = todo.select("range", "rn", "pair", F.explode(F.expr(_SIGNED)).alias("i"))
+        rest = rest.groupBy("range", "rn", "pair", F.col("i.key").alias("digest")).agg(F.sum("i.sign").cast("int").alias("copies")).where("copies <> 0")
+        out.append(rest.groupBy("range", "rn", "pair").agg(F.array_sort(F.collect_list(F.struct("digest", "copies"))).alias("found")))
     found = out[0]
     for x in out[1:]:
         found = found.unionByName(x)
@@ -138,7 +164,10 @@ def _likeness(a: str, b: str, d: str) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, edited_differs, next_differs.
+
+    The last two are the paragraphs' digests recovered from the subtracted sketches, with their copies: above 0 where the text has
+    more of them, below 0 where the other has.
 
     The edited text has its last third of code points (rounded down) replaced by the first as many, or all, of the next row's text.
     Null texts are empty; repeated rows and identifiers are rows of their own; the only row of a table is its own next.
@@ -153,6 +182,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "range").saveAsTable(name)
     table = spark.table(name)
     found = differences(table, "a", ["e", "b"])
-    found = found.groupBy("range", "rn").agg(F.sum(F.expr("if(pair = 0, d, 0)")).alias("de"), F.sum(F.expr("if(pair = 1, d, 0)")).alias("dn"))
-    both = table.join(found, ["range", "rn"], "left").withColumns({"de": F.coalesce("de", F.lit(0)), "dn": F.coalesce("dn", F.lit(0))})
-    return both.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("e")).alias("edited_fingerprint"), _likeness("a", "e", "de").alias("near_edited"), _likeness("a", "b", "dn").alias("near_next"))
+    found = found.groupBy("range", "rn").agg(*[F.first(F.expr(f"if(pair = {n}, found, null)"), ignorenulls=True).alias(f"d{n}") for n in (0, 1)])
+    both = table.join(found, ["range", "rn"], "left").join(sketches(table, ["a", "e"]), ["range", "rn"], "left")
+    none = F.expr("cast(array() as array<struct<digest: int, copies: int>>)")
+    both = both.withColumns({f"d{n}": F.coalesce(f"d{n}", none) for n in (0, 1)} | {f"s{n}": F.coalesce(f"s{n}", F.lit("4:")) for n in (0, 1)})
+    d = [f"aggregate(d{n}, 0L, (s, x) -> s + abs(x.copies))" for n in (0, 1)]
+    return both.select("doc_id", "n_chars", "edited_sha256", F.col("s0").alias("fingerprint"), F.col("s1").alias("edited_fingerprint"), _likeness("a", "e", d[0]).alias("near_edited"), _likeness("a", "b", d[1]).alias("near_next"), F.col("d0").alias("edited_differs"), F.col("d1").alias("next_differs"))
