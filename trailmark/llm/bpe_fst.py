@@ -3,28 +3,31 @@
 The merges define which tokens can follow each other: the encoding of every prefix is
 unique, and its last token t, after last token s of a shorter prefix, must be a pair that no
 merge crosses.  The nondeterministic transducer guesses where tokens end; a state of
-the determinised one is the set of token starts that are still open, each with its place in
-the trie of tokens, the token before it, and what it would emit.  What all of them agree on is
-emitted; a start whose trie path ends is dropped, so lookahead is bounded by the longest token.
-Transitions are made when first met and kept in a table of bounded size.
+the determinised one is the set of token starts that are still open, as their places in the trie of
+tokens.  States and transitions are made when first met.  A transition offers the tokens that end with its byte,
+and a register holds the last token before each open start, so the one token that may follow is chosen by
+pairs.  What the ways to all open starts have in common is emitted: an open start is
+never further back than the longest token, so lookahead is bounded.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunk_encoder import ChunkCache
+from .stage import frugal
 
-#: Kept at most: states, and pairs of tokens whose border was looked at.
-MAX_STATES, MAX_PAIRS = 200_000, 400_000
+#: Kept at most: transitions, and pairs of tokens whose border was looked at. Bytes between emissions.
+MAX_STEPS, MAX_PAIRS, FLUSH = 400_000, 400_000, 4096
 NEVER = 1 << 40
 
 
@@ -43,6 +46,7 @@ class Transducer:
         self.trie: dict[int, int] = {}
         self.token_at: list[int] = [-1]
         self.inner: list[bool] = [False]
+        self.depth: list[int] = [0]
         for token, i in ranks.items():
             node = 0
             for b in token:
@@ -52,6 +56,7 @@ class Transducer:
                     nxt = self.trie[node << 8 | b] = len(self.token_at)
                     self.token_at.append(-1)
                     self.inner.append(False)
+                    self.depth.append(self.depth[node] + 1)
                 node = nxt
             self.token_at[node] = i
         self.spines: dict[int, tuple[list[int], list[int]] | None] = {}
@@ -59,18 +64,16 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.members: list[tuple] = []
-        self.ends: list[tuple] = []
-        self.table: dict[int, tuple[int, tuple]] = {}
-        self.start = self._state(((0, -1, ()),))
-
-    def _state(self, members: tuple) -> int:
-        got = self.states.get(members)
+        self.states: dict[tuple[int, ...], int] = {}
+        self.open: list[tuple[int, ...]] = []
+        self.table: dict[int, tuple[int, list[tuple[int, int]]]] = {}
+        self.start = self._state((0,))
+
+    def _state(self, nodes: tuple[int, ...]) -> int:
+        got = self.states.get(nodes)
         if got is None:
-            got = self.states[members] = len(self.members)
-            self.members.append(members)
-            self.ends.append(members[-1][2])
+            got = self.states[nodes] = len(self.open)
+            self.open.append(nodes)
         return got
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -121,61 +124,71 @@ class Transducer:
         self.follows[s << 32 | t] = ok
         return ok
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        """The transition for a byte, made and kept."""
-        trie, token_at, inner, follows = self.trie, self.token_at, self.inner, self.follows
-        live, new, shortest = [], None, NEVER
-        for node, last, out in self.members[state]:
-            nxt = trie.get(node << 8 | byte)
-            if nxt is None:
-                continue
-            token = token_at[nxt]
-            if new is None and token >= 0:
-                ok = self._spine(token) is not None if last < 0 else follows.get(last << 32 | token)
-                if ok is None:
-                    ok = self._pair(last, token)
-                if ok:
-                    new = (0, token, (*out, token))
-            if inner[nxt]:
-                live.append((nxt, last, out))
-                if len(out) < shortest:
-                    shortest = len(out)
-        if new is None:
-            raise ValueError("the vocabulary lacks a byte")
-        live.append(new)
-        front = new[2]
-        agreed, shortest = 0, min(shortest, len(front))
-        while agreed < shortest:
-            token = front[agreed]
-            for m in live:
-                if m[2][agreed] != token:
-                    break
-            else:
-                agreed += 1
-                continue
-            break
-        if agreed:
-            live = [(n, s, out[agreed:]) for n, s, out in live]
-        got = self._state(tuple(live)), front[:agreed]
+    def _step(self, state: int, byte: int) -> tuple[int, list[tuple[int, int]]]:
+        """The transition for a byte, made and kept: the next state, and (token, length) of the tokens that end, the longest first."""
+        reached = [n for n in (self.trie.get(node << 8 | byte) for node in self.open[state]) if n is not None]
+        ending = [(t, len(self.tokens[t])) for t in (self.token_at[n] for n in reached) if t >= 0]
+        got = self._state((*[n for n in reached if self.inner[n]], 0)), ending
         self.table[state << 8 | byte] = got
         return got
 
+    def _way(self, last: list[int], first: int, end: int) -> list[int]:
+        """The tokens from position first to end."""
+        out, tokens = [], self.tokens
+        while end > first:
+            token = last[end]
+            out.append(token)
+            end -= len(tokens[token])
+        out.reverse()
+        return out
+
+    def _agreed(self, last: list[int], starts: list[int], first: int) -> int:
+        """The last position that the ways to all open starts pass."""
+        places = sorted(set(starts))
+        while len(places) > 1:
+            at = places.pop()
+            at = max(first, at - len(self.tokens[last[at]]))
+            if at not in places:
+                places.append(at)
+                places.sort()
+        return places[0]
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.members) > MAX_STATES:
+        if len(self.table) > MAX_STEPS:
             self._reset()
-        table, state, out = self.table, self.start, []
-        for byte in piece:
+        table, follows, state, out = self.table, self.follows, self.start, []
+        last = [-1]  # of each position since the last emission: the token that ends there
+        begin = first = 0  # position in the piece of last[0], which ends a token that is emitted already
+        for at, byte in enumerate(piece, 1):
             got = table.get(state << 8 | byte)
             if got is None:
                 got = self._step(state, byte)
-            state, emitted = got
-            if emitted:
-                out += emitted
-        out += self.ends[state]
-        return out
+            state, ending = got
+            place = at - begin
+            for token, length in ending:
+                before = last[place - length] if length <= place else None
+                if before is None:
+                    continue
+                if before < 0:
+                    ok = self._spine(token) is not None
+                else:
+                    ok = follows.get(before << 32 | token)
+                    if ok is None:
+                        ok = self._pair(before, token)
+                if ok:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            if place >= FLUSH:
+                cut = self._agreed(last, [place - self.depth[n] for n in self.open[state]], first)
+                out += self._way(last, first, cut)
+                # The last position kept before the cut gives the token before it.
+                last, begin = last[cut:], begin + cut
+        return out + self._way(last, first, len(last) - 1)
 
 
 class FstEncoder(ChunkCache):
@@ -202,26 +215,58 @@ class FstEncoder(ChunkCache):
 
 
 class Utf8Machine:
-    """Incremental UTF-8: feed(bytes) gives the text of the complete characters so far and keeps the rest."""
+    """Incremental UTF-8: feed(bytes) gives the text of the complete characters so far, end() what is left.
+
+    A state is the number of continuation bytes still wanted and the range of the next one.  Runs of bytes that
+    are well-formed as a whole are passed at once; others byte by byte, and each longest part of a character that can't be
+    completed becomes one U+FFFD.
+    """
+
+    #: Wanted continuation bytes and the range of the first, by lead byte.
+    LEADS = {b: (1, 0x80, 0xBF) for b in range(0xC2, 0xE0)} | {b: (2, 0xA0 if b == 0xE0 else 0x80, 0x9F if b == 0xED else 0xBF) for b in range(0xE0, 0xF0)} | {b: (3, 0x90 if b == 0xF0 else 0x80, 0x8F if b == 0xF4 else 0xBF) for b in range(0xF0, 0xF5)}
 
     def __init__(self):
-        self.rest = b""
+        self.begun = b""  # of a character
+        self.state = (0, 0x80, 0xBF)
+
+    def _byte(self, byte: int) -> str:
+        wanted, low, high = self.state
+        if wanted:
+            if low <= byte <= high:
+                self.begun += bytes([byte])
+                self.state = (wanted - 1, 0x80, 0xBF)
+                if wanted > 1:
+                    return ""
+                out, self.begun = self.begun.decode(), b""
+                return out
+            self.begun, self.state = b"", (0, 0x80, 0xBF)
+            return "\ufffd" + self._byte(byte)
+        if byte < 0x80:
+            return chr(byte)
+        if byte not in self.LEADS:
+            return "\ufffd"
+        self.begun, self.state = bytes([byte]), self.LEADS[byte]
+        return ""
 
     def feed(self, data: bytes) -> str:
-        data = self.rest + data
-        cut = len(data)
-        for back in range(1, min(3, len(data)) + 1):
-            byte = data[-back]
-            if byte & 0xC0 != 0x80:
-                needs = 4 if byte >= 0xF0 else 3 if byte >= 0xE0 else 2 if byte >= 0xC0 else 1
-                if needs > back:
-                    cut = len(data) - back
-                break
-        self.rest = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out, at = [], 0
+        while self.state[0] and at < len(data):
+            out.append(self._byte(data[at]))
+            at += 1
+        end = len(data)
+        while end > at and end > len(data) - 4 and data[end - 1] & 0xC0 == 0x80:
+            end -= 1
+        end = max(at, end - 1) if end > at and data[end - 1] >= 0xC0 else len(data)  # the last character may be unfinished
+        try:
+            out.append(data[at:end].decode("utf-8"))
+        except UnicodeDecodeError as e:
+            out.append(data[at : at + e.start].decode("utf-8"))
+            end = at + e.start
+        return "".join(out) + "".join(map(self._byte, data[end:]))
 
     def end(self) -> str:
-        out, self.rest = self.rest.decode("utf-8", "replace"), b""
+        out = "\ufffd" if self.begun else ""
+        self.begun, self.state = b"", (0, 0x80, 0xBF)
         return out
 
 
@@ -255,12 +300,17 @@ class Decoder:
 _kept: dict = {}
 
 
-def _encoder(path: str, pattern: str) -> tuple[FstEncoder, Decoder, list[str]]:
+@contextmanager
+def _encoder(path: str, pattern: str):
+    """The worker's encoder and decoder during a task; kept chunks are dropped afterwards, the transducer stays."""
     if (path, pattern) not in _kept:
-        gc.disable()  # nothing here makes cycles, and collections would walk the tables again and again
         enc = FstEncoder(path, pattern)
-        _kept[path, pattern] = enc, Decoder(enc.fst.ranks), [str(i) for i in range(max(enc.fst.tokens) + 1)]
-    return _kept[path, pattern]
+        _kept[path, pattern] = enc, Decoder(enc.fst.ranks)
+    enc, dec = _kept[path, pattern]
+    try:
+        yield enc, dec
+    finally:
+        enc.forget()
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -275,40 +325,46 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     """
 
     def task(batches):
-        enc, _, _ = _encoder(ranks_path, pattern)
-        for batch in batches:
-            ids = [x.astype(np.int32) for x in enc.encode(t.as_py() for t in batch.column(1))]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        with _encoder(ranks_path, pattern) as (enc, _):
+            for batch in batches:
+                ids = [x.astype(np.int32) for x in enc.encode(t.as_py() for t in batch.column(1))]
+                yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return _rows(docs, id_col, text_col).mapInArrow(task, "doc_id long, ids array<int>")
+    return _rows(docs, id_col, text_col).mapInArrow(frugal(task), "doc_id long, ids array<int>")
 
 
 def decoded(rows: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id and text of rows with doc_id and ids; bytes that aren't UTF-8 become U+FFFD, null ids are empty."""
 
     def task(batches):
-        _, dec, _ = _encoder(ranks_path, pattern)
-        for batch in batches:
-            texts = ["".join(dec.text(np.array(x.as_py() or [], np.int64))) for x in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+        with _encoder(ranks_path, pattern) as (_, dec):
+            for batch in batches:
+                texts = ["".join(dec.text(np.array(x.as_py() or [], np.int64))) for x in batch.column(1)]
+                yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(task, "doc_id long, text string")
+    return rows.select("doc_id", "ids").mapInArrow(frugal(task), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256: each text encoded, its ids decoded again, both digested. Cases as encoded()."""
 
     def task(batches):
-        enc, dec, digits = _encoder(ranks_path, pattern)
-        for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for ids in enc.encode(t.as_py() for t in batch.column(1)):
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(digits.__getitem__, ids.tolist())).encode()).hexdigest())
-                sha = hashlib.sha256()
-                for part in dec.text(ids):
-                    sha.update(part.encode("utf-8"))
-                text_sha.append(sha.hexdigest())
-            yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _rows(docs, id_col, text_col).mapInArrow(task, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        with _encoder(ranks_path, pattern) as (enc, dec):
+            for batch in batches:
+                counts, ids_sha, text_sha = [], [], []
+                for ids in enc.encode(t.as_py() for t in batch.column(1)):
+                    counts.append(len(ids))
+                    ids_sha.append(hashlib.sha256(_decimal(ids)).hexdigest())
+                    sha = hashlib.sha256()
+                    for part in dec.text(ids):
+                        sha.update(part.encode("utf-8"))
+                    text_sha.append(sha.hexdigest())
+                yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return _rows(docs, id_col, text_col).mapInArrow(frugal(task), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _decimal(ids: np.ndarray) -> bytes:
+    """The ids in decimal, joined by single spaces."""
+    listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids).cast(pa.string()))
+    return pc.binary_join(listed, " ")[0].as_buffer().to_pybytes() if len(ids) else b""

@@ -14,11 +14,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stage import frugal
+
 START, END = "<|im_start|>", "<|im_end|>"
 _MARK = re.compile(r"<(\\*)\|")
 _MARKED = re.compile(r"<\\(\\*)\|")
@@ -42,14 +45,16 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
+@contextmanager
 def _counter(path: str | None):
     """Tokens of each formatted turn: by a tokenizer file, or one for four bytes where there is none."""
     if path is None:
-        return lambda turns: [len(t.encode()) // 4 + 1 for t in turns]
+        yield lambda turns: [len(t.encode()) // 4 + 1 for t in turns]
+        return
     from .chunk_encoder import ByteLevelEncoder, encoder
 
-    enc = encoder(ByteLevelEncoder, path)
-    return lambda turns: [len(x) for x in enc.encode(turns)]
+    with encoder(ByteLevelEncoder, path) as enc:
+        yield lambda turns: [len(x) for x in enc.encode(turns)]
 
 
 class _Conversation:
@@ -109,37 +114,39 @@ class _Conversation:
         return out
 
 
+_TYPES = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))]
+
 def _format(budget: int, history: int, tokenizer: str | None):
     def task(batches):
-        count = _counter(tokenizer)
         now, rows, size = None, [], 0
 
         def table():
-            out = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))], strict=True)], names=["conv_id", "window", "formatted", "tokens", "first_new", "history_turns", "has_system", "loss_spans"])
+            out = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 8, _TYPES, strict=True)], names=["conv_id", "window", "formatted", "tokens", "first_new", "history_turns", "has_system", "loss_spans"])
             rows.clear()
             return out
 
-        for batch in batches:
-            ids, roles, texts = (batch.column(k).to_pylist() for k in range(3))
-            bodies = [escape(t or "") for t in texts]
-            turns = [f"{START}{escape_role(r or '')}\n{b}{END}\n" for r, b in zip(roles, bodies, strict=True)]
-            for conv_id, role, body, turn, tokens in zip(ids, roles, bodies, turns, count(turns), strict=True):
-                if now is None or now.conv_id != conv_id:
-                    if now is not None:
-                        rows.append(now.row())
-                        size += len(rows[-1][2])
-                    now = _Conversation(conv_id, budget, history)
-                for row in now.add(role or "", body, turn, tokens):
-                    rows.append(row)
-                    size += len(row[2])
-                if size > 1 << 22:
-                    yield table()
-                    size = 0
+        with _counter(tokenizer) as count:
+            for batch in batches:
+                ids, roles, texts = (batch.column(k).to_pylist() for k in range(3))
+                bodies = [escape(t or "") for t in texts]
+                turns = [f"{START}{escape_role(r or '')}\n{b}{END}\n" for r, b in zip(roles, bodies, strict=True)]
+                for conv_id, role, body, turn, tokens in zip(ids, roles, bodies, turns, count(turns), strict=True):
+                    if now is None or now.conv_id != conv_id:
+                        if now is not None:
+                            rows.append(now.row())
+                            size += len(rows[-1][2])
+                        now = _Conversation(conv_id, budget, history)
+                    for row in now.add(role or "", body, turn, tokens):
+                        rows.append(row)
+                        size += len(row[2])
+                    if size > 1 << 22:
+                        yield table()
+                        size = 0
         if now is not None:
             rows.append(now.row())
         yield table()
 
-    return task
+    return frugal(task)
 
 
 def chat_windows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", budget: int = 512, history: int = 128, tokenizer: str | None = None) -> DataFrame:
@@ -199,7 +206,7 @@ def read_back(windows: DataFrame) -> DataFrame:
             yield _digests(out)
         yield _digests([row()] if now is not None else [])
 
-    return windows.mapInArrow(task, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
+    return windows.mapInArrow(frugal(task), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_windows long")
 
 
 def _digests(rows: list[tuple]):

@@ -8,14 +8,16 @@ are smaller than 65,536.
 
 from __future__ import annotations
 
-import gc
+import json
 import re
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
-#: Distinct chunks kept by a worker, characters encoded together, and characters of a piece of a very long text.
-MAX_CHUNKS, BATCH_CHARS, PIECE_CHARS = 300_000, 1 << 20, 1 << 22
+#: Distinct chunks kept during a task and characters of the longest that is kept (about 60 MB together), characters
+#: encoded together, and characters of a piece of a very long text.
+MAX_CHUNKS, KEPT_CHARS, BATCH_CHARS, PIECE_CHARS = 250_000, 48, 1 << 20, 1 << 22
 _RUN = re.compile(r"\s (?:\s|\Z)")
 #: A stop or comma between a letter and a space is a chunk of its own, shown by a NUL; texts with a NUL go to the library whole.
 _MARK = re.compile(r"[.,](?= )(?<=[A-Za-z].)")
@@ -40,25 +42,34 @@ def pieces(text: str) -> Iterator[str]:
 
 
 class Kept(dict):
-    """Values made when first asked for."""
+    """Values made when first asked for; those of long keys are made each time."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
 
     def __missing__(self, key: str) -> bytes:
-        got = self[key] = self.make(key)
+        got = self.make(key)
+        if len(key) <= KEPT_CHARS:
+            self[key] = got
         return got
 
 
 class ChunkCache:
     """encode(texts) for subclasses that can encode whole texts and single chunks."""
 
+    known = True  # whether chunks can be encoded apart
+
     def __init__(self):
         self.cache = Kept(self._made)
         self.heads = Kept(self.whole)  # first chunks of texts, which have no space before them
         self.marks: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop what is kept."""
+        self.cache.clear()
+        self.heads.clear()
+
     def whole(self, text: str) -> bytes:
         raise NotImplementedError
 
@@ -85,7 +96,7 @@ class ChunkCache:
         self.cache.update(("\0" + c, ids) for c, ids in self.marks.items())
         get, out = self.cache.__getitem__, []
         for text in texts:
-            if "\0" in text or _RUN.search(text):
+            if not self.known or "\0" in text or _RUN.search(text):
                 out.append(self.whole(text))
             else:
                 head, *rest = self.split(text)
@@ -104,7 +115,7 @@ class ChunkCache:
 
         size = 0
         for text in texts:
-            own = list(pieces(text or ""))
+            own = list(pieces(text or "")) if self.known else [text or ""]
             held += own
             parts.append(len(own))
             size += len(text or "")
@@ -115,6 +126,11 @@ class ChunkCache:
             yield from out()
 
 
+#: Options of a BPE model that change what it gives.
+_MODEL = ("type", "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+_PLAIN = dict.fromkeys(_MODEL) | {"type": "BPE"}
+
+
 class LibraryEncoder(ChunkCache):
     """By the tokenizers library; strings of special tokens in a text are ordinary text.
 
@@ -124,12 +140,20 @@ class LibraryEncoder(ChunkCache):
 
     #: The file's splitting pattern, with the classes that it has in Latin-1.
     pattern = ""
+    #: What a file must say for that; texts of other files go to the library whole.
+    expects: dict = {}
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path} has ids beyond 16 bits")
+        with open(path, encoding="utf-8") as f:
+            says = json.load(f)
+        model = {k: v for k, v in says["model"].items() if k not in ("vocab", "merges")}
+        self.known = {"normalizer": says["normalizer"], "pre_tokenizer": says["pre_tokenizer"], "post_processor": says["post_processor"], "model": {k: model.get(k) or None for k in _MODEL}} == self.expects
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -150,6 +174,10 @@ class LibraryEncoder(ChunkCache):
         two = self.two
         return b"".join([two[t.id] for t in self.tokens(match)])
 
+    def forget(self) -> None:
+        super().forget()
+        self.parts.clear()
+
     def _pieces(self, text: str) -> bytes:
         if len(self.parts) > MAX_CHUNKS // 8:
             self.parts.clear()
@@ -159,6 +187,8 @@ class LibraryEncoder(ChunkCache):
 class ByteLevelEncoder(LibraryEncoder):
     """Byte-level vocabulary: the chunk's space is part of its first token."""
 
+    expects = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, "post_processor": None, "model": _PLAIN}
+
     def _made(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
             two = self.two
@@ -176,6 +206,14 @@ class ByteLevelEncoder(LibraryEncoder):
 class WordEndEncoder(LibraryEncoder):
     """Vocabulary with word ends, which drops white space and case: line ends and tabs count as spaces."""
 
+    _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    expects = {
+        "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+        "post_processor": None,
+        "model": _PLAIN | {"end_of_word_suffix": "</w>"},
+    }
+
     def _made(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
             two = self.two
@@ -199,9 +237,13 @@ class WordEndEncoder(LibraryEncoder):
         return self.piece(chunk.lower()) if chunk.isalpha() else self._pieces(chunk.lower())
 
 
+@contextmanager
 def encoder(kind: type, path: str):
-    """The worker's own encoder for a file; its chunks stay from task to task."""
+    """The worker's own encoder for a file, during a task: its chunks are dropped afterwards, its vocabulary stays."""
     if (kind, path) not in _encoders:
-        gc.disable()  # nothing here makes cycles, and collections would walk the cache again and again
         _encoders[kind, path] = kind(path)
-    return _encoders[kind, path]
+    got = _encoders[kind, path]
+    try:
+        yield got
+    finally:
+        got.forget()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .skew import attach
-from .stage import written
+from .stage import frugal, written
 
 
 class Forest:
@@ -58,7 +58,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     a, b = edges.columns[:2]
-    now = written(edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).mapInArrow(_local, "u long, v long"), "edges")
+    now = written(edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).mapInArrow(frugal(_local), "u long, v long"), "edges")
     state, edges_now = None, now.count()
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

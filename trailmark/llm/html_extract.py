@@ -2,7 +2,14 @@
 
 The renderer keeps block spacing (a blank line around paragraphs, headings, lists and tables, a line
 break around other blocks), list markers with hanging indents, preformatted text, and tables as
-aligned columns with spans.  Neither step recurses, so nesting may be of any depth.
+aligned columns with spans.  Neither step recurses, so nesting may be of any depth, and both take time in proportion to
+the page, however malformed.  For that: where a tag's quotes are never closed, it and all later tags end at their
+first ``>``; what follows a ``<`` without any ``>`` is text; indents grow no further below DEPTH levels; tables below
+TABLES levels are laid out as blocks; a table that aligned columns would make far larger than its text has its cells two
+spaces apart; rowspans count in the first COLUMNS columns.  No text is dropped by these rules.
+
+Visibility: hidden attributes and ``display:none`` hide a subtree, ``visibility`` is inherited and may be turned back on,
+a dialog shows if it is open, of svg only its text elements show, of math all but annotations.
 """
 
 from __future__ import annotations
@@ -10,19 +17,25 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|[^<]+|<""", re.S)
+from .stage import frugal
+
+#: Levels of indents, levels of tables, columns in which rowspans are followed.
+DEPTH, TABLES, COLUMNS = 40, 12, 1000
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_PLAIN = re.compile(r"""[^>"']*+""")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""", re.S)
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 RCDATA = frozenset("title textarea".split())
-HIDDEN = frozenset("head title script style template noscript iframe noembed noframes datalist object audio video canvas svg math dialog area base link meta param source track rp".split())
+HIDDEN = frozenset("head title script style template noscript iframe noembed noframes datalist object audio video canvas annotation annotation-xml area base link meta param source track rp".split())
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr menu fieldset listing xmp".split())
 LINES = frozenset("html body div section article aside header footer nav main address form li dt dd tr td th thead tbody tfoot caption figcaption details summary legend center hgroup search optgroup option".split())
 BLOCKS = PARAGRAPHS | LINES
@@ -45,6 +58,7 @@ IMPLIED = {
     "rp": (("rt", "rp"), ("ruby",)),
 }
 _SCOPE = frozenset("table td th caption html template object".split())
+_PRE = frozenset("pre listing xmp textarea plaintext".split())
 _IN_HEAD = frozenset("base link meta title style script noscript template".split())
 
 
@@ -64,107 +78,203 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+def _tokens(source: str):
+    """("text" | "cdata" | "open" | "close", text or tag name, attributes' source, end) of a page; raw elements are skipped by sending the position to go on from."""
+    at, n, heed, more = 0, len(source), True, True
+    while at < n:
+        start = source.find("<", at)
+        if start < 0 or not more:
+            yield "text", source[at:], "", n
+            return
+        if start > at:
+            yield "text", source[at:start], "", start
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = n if end < 0 else end + 3
+            continue
+        if source.startswith("<![CDATA[", start):
+            end = source.find("]]>", start + 9)
+            at = n if end < 0 else end + 3
+            yield "cdata", source[start + 9 : n if end < 0 else end], "", at
+            continue
+        if source[start + 1 : start + 2] in ("!", "?"):
+            end = source.find(">", start)
+            at = n if end < 0 else end + 1
+            continue
+        m = _NAME.match(source, start)
+        if not m:
+            yield "text", "<", "", start + 1
+            at = start + 1
+            continue
+        end = m.end()
+        while heed:
+            end = _PLAIN.match(source, end).end()
+            if end == n:
+                heed = False
+            elif source[end] == ">":
+                break
+            else:
+                end = source.find(source[end], end + 1) + 1
+                heed = end > 0
+        if not heed:
+            end = source.find(">", m.end())
+            if end < 0:
+                more, at = False, start
+                continue
+        at = (yield "close" if m[1] else "open", m[2].lower(), source[m.end() : end], end + 1) or end + 1
+
+
+class Open:
+    """The open elements, with the places of each name, so that nothing walks along them."""
+
+    def __init__(self, *nodes: Node):
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.blocks: list[int] = []
+        for node in nodes:
+            self.push(node)
+        self.least = len(nodes)
+
+    def push(self, node: Node) -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in _SCOPE:
+            self.scopes.append(at)
+        if node.tag in BLOCKS:
+            self.blocks.append(at)
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost element of these names, -1 if there is none."""
+        found = max((p[-1] for p in map(self.places.get, tags) if p), default=-1)
+        return found if found >= self.least else -1
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all inside it."""
+        while len(self.nodes) > at:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+            if tag in _SCOPE:
+                self.scopes.pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def close(self, tags, stop) -> None:
+        """Close the innermost of these names, unless one of stop (None: any scope) is further in."""
+        at = self.last(*tags)
+        barrier = (self.scopes[-1] if self.scopes else -1) if stop is None else self.last(*stop)
+        if at > barrier:
+            self.cut(at)
+
+
 def parse(source: str) -> Node:
     """The tree under an html node; missing html, head, body, tbody and tr tags and missing end tags are implied."""
     root = Node("html")
     head, body = Node("head"), Node("body")
     root.children = [head, body]
-    stack = [root, body]
+    stack = Open(root, body)
     in_head = False
-
-    def close(names, stop) -> None:
-        for k in range(len(stack) - 1, 1, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return
-            if stack[k].tag in stop:
-                return
-
-    at, n = 0, len(source)
-    while at < n:
-        m = _TOKEN.match(source, at)
-        at = m.end()
-        name = m[2]
-        if name is None:
-            text = m[0]
-            if text[0] == "<" and len(text) > 1:
-                if text.startswith("<![CDATA["):
-                    stack[-1].children.append(text[9:].removesuffix("]]>"))
-                continue
-            if in_head and not text.isspace():
+    tokens, goto, n = _tokens(source), None, len(source)
+    while True:
+        try:
+            kind, tag, attributes, at = tokens.send(goto)
+        except StopIteration:
+            return root
+        goto = None
+        top = stack.nodes[-1]
+        if kind == "cdata":
+            top.children.append(tag)
+            continue
+        if kind == "text":
+            if in_head and not tag.isspace():
                 in_head = False
-                stack = [root, body]
-            stack[-1].children.append(html.unescape(text) if "&" in text else text)
+                stack = Open(root, body)
+                top = body
+            top.children.append(html.unescape(tag) if "&" in tag else tag)
             continue
-        tag = name.lower()
-        if m[1]:
+        if kind == "close":
             if tag in ("html", "body"):
                 continue
             if tag == "head":
-                in_head, stack = False, [root, body]
+                in_head, stack = False, Open(root, body)
             elif tag == "br":
-                stack[-1].children.append(Node("br"))
-            elif tag == "p" and not any(x.tag == "p" for x in stack):
-                stack[-1].children.append(Node("p"))
+                top.children.append(Node("br"))
+            elif tag == "p" and stack.last("p") < 0:
+                top.children.append(Node("p"))
             else:
-                limit = frozenset() if tag in _SCOPE or tag in ("tr", "thead", "tbody", "tfoot") else _SCOPE
-                for k in range(len(stack) - 1, 1, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
-                    if stack[k].tag in limit or (tag not in BLOCKS and stack[k].tag in BLOCKS and tag in ("span", "label")):
-                        break
+                found = stack.last(tag)
+                barrier = -1
+                if tag not in _SCOPE and tag not in ("tr", "thead", "tbody", "tfoot"):
+                    barrier = stack.scopes[-1] if stack.scopes else -1
+                if tag in ("span", "label") and stack.blocks:
+                    barrier = max(barrier, stack.blocks[-1])
+                if found > barrier:
+                    stack.cut(found)
             continue
-        attrs = _attributes(m[3]) if m[3] else {}
+        attrs = _attributes(attributes) if attributes else {}
         if tag == "html":
             root.attrs = attrs | root.attrs
             continue
         if tag == "head":
-            in_head, stack = True, [root, head]
+            in_head, stack = True, Open(root, head)
             continue
         if tag == "body":
             body.attrs = attrs | body.attrs
-            in_head, stack = False, [root, body]
+            in_head, stack = False, Open(root, body)
             continue
         if in_head and tag not in _IN_HEAD:
-            in_head, stack = False, [root, body]
+            in_head, stack = False, Open(root, body)
         if tag in ENDS_P:
-            close(("p",), _SCOPE)
+            stack.close(("p",), None)
         if tag in IMPLIED:
-            close(*IMPLIED[tag])
-            if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
+            stack.close(*IMPLIED[tag])
+            if tag in ("td", "th") and stack.nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
                 row = Node("tr")
-                stack[-1].children.append(row)
-                stack.append(row)
+                stack.nodes[-1].children.append(row)
+                stack.push(row)
         node = Node(tag, attrs)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if tag in RAW or tag in RCDATA:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
+            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I).search(source, at)
             text = source[at : end.start() if end else n]
             node.children.append(html.unescape(text) if tag in RCDATA else text)
-            at = end.end() if end else n
+            goto = end.end() if end else n
         elif tag == "plaintext":
             node.children.append(source[at:])
-            at = n
-        elif tag not in VOID and not (m[3].rstrip().endswith("/") and tag in ("svg", "math")):
-            stack.append(node)
-    return root
+            goto = n
+        elif tag not in VOID and not (attributes.rstrip().endswith("/") and tag in ("svg", "math")):
+            stack.push(node)
 
 
 def visible(node: Node) -> bool:
+    """Whether an element's subtree takes part at all; see also _visibility."""
     if node.tag in HIDDEN:
         return False
     attrs = node.attrs
+    if node.tag == "dialog" and "open" not in attrs:
+        return False
     if not attrs:
         return True
     if "hidden" in attrs or (node.tag == "input" and attrs.get("type", "").lower() == "hidden"):
         return False
     style = attrs.get("style")
+    return not (style and "display:none" in _SPACES.sub("", style.lower()))
+
+
+def _visibility(node: Node, shown: bool) -> bool:
+    """Whether an element's own text shows, by what it inherits."""
+    if node.tag == "svg":
+        return False
+    if node.tag in ("text", "foreignobject"):
+        shown = True
+    style = node.attrs.get("style")
     if style:
         style = _SPACES.sub("", style.lower())
-        if "display:none" in style or "visibility:hidden" in style or "visibility:collapse" in style:
-            return False
-    return True
+        at = style.rfind("visibility:")
+        if at >= 0:
+            return style.startswith("visible", at + 11)
+    return shown
 
 
 def width(text: str) -> int:
@@ -182,17 +292,29 @@ class Flow:
         self.line: list[str] = []
         self.open = self.space = False
         self.gap = 0
-        self.indents: list[list] = []  # first prefix, later prefix, whether the first was used
+        self.prefix = ""  # of lines inside the levels whose first prefix was used
+        self.used: list[int] = []  # the prefix's length outside each of these levels
+        self.fresh: list[tuple[str, str]] = []  # first and later prefix of the levels inside them
+
+    def indent(self, first: str, later: str) -> None:
+        self.fresh.append((first, later))
+
+    def dedent(self) -> None:
+        if self.fresh:
+            self.fresh.pop()
+        elif self.used:
+            self.prefix = self.prefix[: self.used.pop()]
 
     def _begin(self) -> None:
         if self.lines and self.gap > 1:
             self.lines.append("")
         self.gap = 0
-        prefix = []
-        for level in self.indents:
-            prefix.append(level[1] if level[2] else level[0])
-            level[2] = True
-        self.line = ["".join(prefix)] if prefix else []
+        self.line = [self.prefix, *[first for first, _ in self.fresh]]
+        for _, later in self.fresh:
+            self.used.append(len(self.prefix))
+            if len(self.used) <= DEPTH:
+                self.prefix += later
+        self.fresh.clear()
         self.open, self.space = True, False
 
     def end_line(self) -> None:
@@ -259,27 +381,26 @@ class Grid:
     def __init__(self):
         self.caption: list[str] = []
         self.rows: list[list[tuple[int, int, list[str]]]] = []
-        self.busy: dict[int, int] = {}
+        self.busy: dict[int, int] = {}  # the last row that a rowspan takes in a column
 
     def row(self) -> None:
-        self.busy = {c: k - 1 for c, k in self.busy.items() if k > 1}
         self.rows.append([])
 
     def cell(self, lines: list[str], attrs: dict[str, str]) -> None:
         if not self.rows:
             self.row()
-        own = self.rows[-1]
+        own, now = self.rows[-1], len(self.rows)
         at = own[-1][0] + own[-1][1] if own else 0
-        while at in self.busy:
+        while self.busy.get(at, 0) >= now:
             at += 1
         across, down = max(1, _number(attrs.get("colspan"), 1)), _number(attrs.get("rowspan"), 1, 65534) or 65534
         if down > 1:
-            for c in range(at, at + across):
-                self.busy[c] = down
+            for c in range(at, min(at + across, COLUMNS)):
+                self.busy[c] = now + down - 1
         own.append((at, across, lines))
 
     def lines(self) -> list[str]:
-        used = sorted({c for row in self.rows for at, _, lines in row if lines for c in (at,)})
+        used = sorted({at for row in self.rows for at, _, lines in row if lines})
         place = {c: k for k, c in enumerate(used)}
         widths = [0] * len(used)
         for row in self.rows:
@@ -289,21 +410,26 @@ class Grid:
         for row in self.rows:
             for at, across, lines in row:
                 if lines and across > 1:
-                    own = [place[c] for c in used if at <= c < at + across]
-                    lack = max(map(width, lines)) - sum(widths[k] for k in own) - 2 * (len(own) - 1)
+                    first, end = place[at], bisect_left(used, at + across)
+                    lack = max(map(width, lines)) - sum(widths[first:end]) - 2 * (end - first - 1)
                     if lack > 0:
-                        widths[own[-1]] += lack
+                        widths[end - 1] += lack
         starts = [0]
         for w in widths:
             starts.append(starts[-1] + w + 2)
+        text = sum(len(line) for row in self.rows for _, _, lines in row for line in lines)
+        aligned = sum(starts[place[at]] for row in self.rows for at, _, lines in row[-1:] if lines for _ in lines)
+        wide = aligned > 65536 + 16 * text
         out = list(self.caption)
         for row in self.rows:
-            for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            full = [(starts[place[at]], lines) for at, _, lines in row if lines]
+            for k in range(max((len(lines) for _, lines in full), default=0)):
                 line, taken = [], 0
-                for at, _, lines in row:
-                    if k < len(lines) and lines[k]:
-                        line.append(" " * (starts[place[at]] - taken) + lines[k])
-                        taken = starts[place[at]] + width(lines[k])
+                full = [x for x in full if len(x[1]) > k]
+                for start, lines in full:
+                    if lines[k]:
+                        line.append((" " * 2 * bool(line) if wide else " " * (start - taken)) + lines[k])
+                        taken = start + width(lines[k])
                 out.append("".join(line).rstrip())
         return out
 
@@ -311,11 +437,13 @@ class Grid:
 def render(root: Node) -> str:
     """The visible text of a tree."""
     flow, flows, grids, lists = Flow(), [], [], []
-    pre = 0
-    work: list = [(root, False)]
+    pre, shown = 0, True
+    work: list = [(root, None)]
     while work:
-        node, leaving = work.pop()
+        node, before = work.pop()  # before: whether text showed outside the element that ends
         if isinstance(node, str):
+            if not shown:
+                continue
             if grids and not flows[-1][1]:
                 if not node.isspace():  # text between cells comes before the table
                     flows[-1][0].text(node)
@@ -325,29 +453,34 @@ def render(root: Node) -> str:
                 flow.text(node)
             continue
         tag = node.tag
-        if not leaving:
+        if before is None:
             if not visible(node):
                 continue
             if tag == "br":
-                flow.line_break()
+                if shown:
+                    flow.line_break()
                 continue
             if tag == "wbr":
                 continue
             if tag == "input":
-                if node.attrs.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"):
+                if shown and node.attrs.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"):
                     flow.text(node.attrs.get("value", ""))
                 continue
-            work.append((node, True))
+            work.append((node, shown))
+            shown = _visibility(node, shown)
             if tag == "table":
                 flow.block(2)
-                grids.append(Grid())
-                flows.append((flow, False))
-                flow = Flow()
+                if len(grids) < TABLES:
+                    grids.append(Grid())
+                    flows.append((flow, False))
+                    flow = Flow()
+                    node.attrs = node.attrs | {"": "grid"}
             elif grids and not flows[-1][1] and tag == "tr":
                 grids[-1].row()
             elif grids and not flows[-1][1] and tag in ("td", "th", "caption"):
                 flows.append((flow, True))
                 flow = Flow()
+                node.attrs = node.attrs | {"": "cell"}
             elif tag in ("ul", "ol", "menu"):
                 flow.block(1 if lists else 2)
                 lists.append([tag, _number(node.attrs.get("start"), 1, 10**9)])
@@ -358,32 +491,35 @@ def render(root: Node) -> str:
                     lists[-1][1] = _number(node.attrs.get("value"), lists[-1][1], 10**9)
                     marker = f"{lists[-1][1]}. "
                     lists[-1][1] += 1
-                flow.indents.append([marker, " " * len(marker), False])
+                flow.indent(marker, " " * len(marker))
             elif tag == "dd":
                 flow.block(1)
-                flow.indents.append(["    ", "    ", False])
+                flow.indent("    ", "    ")
             elif tag == "blockquote":
                 flow.block(2)
-                flow.indents.append(["> ", "> ", False])
+                flow.indent("> ", "> ")
             elif tag in BLOCKS:
                 flow.block(2 if tag in PARAGRAPHS else 1)
-            if tag in ("pre", "listing", "xmp", "textarea", "plaintext"):
+            if tag in _PRE:
                 pre += 1
                 if node.children and isinstance(node.children[0], str):
                     node.children[0] = re.sub(r"\A\r?\n", "", node.children[0])
             for child in reversed(node.children):
-                work.append((child, False))
+                work.append((child, None))
             continue
+        shown = before
+        role = node.attrs.get("")
         if tag == "table":
-            grid = grids.pop()
-            inside = flow.result()
-            flow, _ = flows.pop()
-            if inside:
-                flow.rows(inside)
-            flow.block(2)
-            flow.rows(grid.lines())
+            if role:
+                grid = grids.pop()
+                inside = flow.result()
+                flow, _ = flows.pop()
+                if inside:
+                    flow.rows(inside)
+                flow.block(2)
+                flow.rows(grid.lines())
             flow.block(2)
-        elif tag in ("td", "th", "caption") and flows and flows[-1][1]:
+        elif role == "cell":
             lines = flow.result()
             flow, _ = flows.pop()
             if tag == "caption":
@@ -395,11 +531,10 @@ def render(root: Node) -> str:
             flow.block(1 if lists else 2)
         elif tag in ("li", "dd", "blockquote"):
             flow.block(2 if tag == "blockquote" else 1)
-            if flow.indents:
-                flow.indents.pop()
+            flow.dedent()
         elif tag in BLOCKS:
             flow.block(2 if tag in PARAGRAPHS else 1)
-        if tag in ("pre", "listing", "xmp", "textarea", "plaintext"):
+        if tag in _PRE:
             pre -= 1
     return "\n".join(flow.result()).strip("\n")
 
@@ -422,4 +557,4 @@ def extracted(pages: DataFrame, html_col: str = "html", text_col: str = "extract
             texts = [visible_text(x.as_py()) for x in batch.column(len(keep))]
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, text_col])
 
-    return rows.mapInArrow(task, schema)
+    return rows.mapInArrow(frugal(task), schema)

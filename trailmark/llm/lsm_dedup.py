@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .skew import IdFilter
-from .stage import written
+from .stage import frugal, written
 from .textvec import mix
 
 LAST = np.iinfo(np.int64).max
@@ -178,15 +178,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = max(1, -(-docs.count() // range_rows))
     largest = keep == "largest"
-    level0 = written(docs.mapInArrow(_level0(largest, ranges, memtable_entries, digest_bytes), _LEVEL0), "lsm-level0")
+    level0 = written(docs.mapInArrow(frugal(_level0(largest, ranges, memtable_entries, digest_bytes)), _LEVEL0), "lsm-level0")
     slices = level0.where("kind = 1").select("range", "run", "digests", "keys", "counts", "filter")
-    hits = written(slices.repartition("range").sortWithinPartitions("range", "run").mapInArrow(_compact(digest_bytes), "run long, key binary, keep long, keep_run long, keep_pos long, group_size long"), "lsm-hits")
+    hits = written(slices.repartition("range").sortWithinPartitions("range", "run").mapInArrow(frugal(_compact(digest_bytes)), "run long, key binary, keep long, keep_run long, keep_pos long, group_size long"), "lsm-hits")
     rows = level0.where("kind = 0").select("doc_id", "run", "pos", "digest", F.substring("digest", 1, digest_bytes).alias("key"))
     out = rows.join(hits, ["run", "key"], "left")
 
     wanted = IdFilter.build(hits.select(F.xxhash64("key").alias("h")), "h")
     words = spark.sparkContext.broadcast(wanted.words)
-    texts = docs.mapInArrow(_hit_texts(words, digest_bytes), "doc_id long, key binary, text binary")
+    texts = docs.mapInArrow(frugal(_hit_texts(words, digest_bytes)), "doc_id long, key binary, text binary")
     unlike = texts.groupBy("key").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").select("key")
     unlike = written(unlike, "lsm-unlike")
     value = (lambda c: -F.col(c) - 1) if largest else F.col

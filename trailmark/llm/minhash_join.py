@@ -10,8 +10,11 @@ keys that leave ERRORS positions of a chunk out.  All such pairs are found:
 Work is on classes of equal shingle sets.  Each key's members are compared by
 signature and leave a spanning forest, never all pairs; the forests' components
 are candidate clusters, which hold every pair within the threshold.  Within a cluster
-full shingle sets confirm links; pairs that are connected already are skipped.  Members
-of a key or cluster too large for a task are dealt into blocks, a task for each pair of blocks.
+full shingle sets confirm links; pairs that are connected already are skipped.
+
+A key or cluster of more than BLOCK members is dealt into blocks, each with the same few hubs, so that members of one
+group of copies meet through them.  What that connects is then known everywhere, and only members of different parts
+are compared across blocks: a group of copies costs its members, not their square.
 """
 
 from __future__ import annotations
@@ -24,13 +27,13 @@ from pyspark.sql import functions as F
 from . import textvec
 from .graph import Forest, components
 from .skew import IdFilter, attach
-from .stage import written
+from .stage import frugal, written
 
 POSITIONS, CHUNKS, ERRORS = 64, 16, 1
 WIDTH = POSITIONS // CHUNKS
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
-#: Members of a block, and shingles of a cluster's block.
-BLOCK, BLOCK_SHINGLES = 1024, 2_000_000
+#: Members of a block, shingles of a cluster's block, and members that all blocks of a group share.
+BLOCK, BLOCK_SHINGLES, HUBS = 256, 1_000_000, 4
 _SEEDS = textvec.mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR = (_SEEDS[:POSITIONS] & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None]
 _ODD = ((_SEEDS[POSITIONS:] & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1))[:, None]
@@ -102,26 +105,6 @@ def _edges(pairs: list[tuple[int, int]]):
     return pa.record_batch([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"])
 
 
-def _candidate_forest(batches):
-    """For each key (and pair of blocks) a spanning forest of its pairs within the threshold."""
-    out: list[tuple[int, int]] = []
-    for group in _grouped(batches, 3):
-        if len(group) < 2:
-            continue
-        rep = [g[3] for g in group]
-        n = np.array([g[4] for g in group])
-        sig = np.frombuffer(b"".join(g[5] for g in group), np.uint16).reshape(-1, POSITIONS)
-        forest = Forest()
-        for i in range(len(group) - 1):
-            for j in _may_link(sig, n, i).tolist():
-                if forest.join(i, j):
-                    out.append((rep[i], rep[j]))
-        if len(out) > 50_000:
-            yield _edges(out)
-            out = []
-    yield _edges(out)
-
-
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """100 * intersection >= 75 * union, of sorted distinct arrays."""
     both = np.concatenate([a, b])
@@ -130,20 +113,26 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * shared >= 75 * (len(both) - shared)
 
 
-def _confirmed_forest(batches):
-    """For each cluster (and pair of blocks) a spanning forest of its links, confirmed on full sets."""
+def _forest(batches):
+    """For each unit of work a spanning forest of its links, without those inside a part that is known.
+
+    Columns: group, unit, part, rep, n, sig and, where links have to be confirmed, shingles.
+    """
     out: list[tuple[int, int]] = []
-    for group in _grouped(batches, 3):
-        rep = [g[3] for g in group]
-        n = np.array([g[4] for g in group])
-        sig = np.frombuffer(b"".join(g[5] for g in group), np.uint16).reshape(-1, POSITIONS)
-        sets = [np.frombuffer(g[6], np.uint64) for g in group]
-        forest = Forest()
-        for i in range(len(group) - 1):
+    for rows in _grouped(batches, 2):
+        part, rep = [g[2] for g in rows], [g[3] for g in rows]
+        n = np.array([g[4] for g in rows])
+        sig = np.frombuffer(b"".join(g[5] for g in rows), np.uint16).reshape(-1, POSITIONS)
+        sets = [np.frombuffer(g[6], np.uint64) for g in rows] if len(rows[0]) > 6 else None
+        forest, first = Forest(), {}
+        for i, p in enumerate(part):
+            forest.join(first.setdefault(p, i), i)
+        for i in range(len(rows) - 1):
             may = _may_link(sig, n, i)
-            may = may[np.argsort((sig[may] != sig[i]).sum(axis=1), kind="stable")]
+            if sets:
+                may = may[np.argsort((sig[may] != sig[i]).sum(axis=1), kind="stable")]
             for j in may.tolist():
-                if forest.root(i) != forest.root(j) and similar(sets[i], sets[j]):
+                if forest.root(i) != forest.root(j) and (sets is None or similar(sets[i], sets[j])):
                     forest.join(i, j)
                     out.append((rep[i], rep[j]))
         if len(out) > 50_000:
@@ -152,12 +141,55 @@ def _confirmed_forest(batches):
     yield _edges(out)
 
 
-def _blocks(df: DataFrame, blocks: str, by: str) -> DataFrame:
-    """Each member once for every pair of blocks that it takes part in; (by, bi, bj) is the unit of work."""
-    own = F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1), lambda o: F.struct(F.least(F.col("own"), o).alias("bi"), F.greatest(F.col("own"), o).alias("bj")))
-    rest = [c for c in df.columns if c not in (by, blocks)]
-    return df.withColumn("own", own).select(by, *rest, F.explode(pairs).alias("p")).select(by, "p.bi", "p.bj", *rest)
+def _worked(units: DataFrame, by: str, payload: DataFrame) -> DataFrame:
+    """Edges (a, b) of units of work (by, unit, part, rep) with each member's payload."""
+    rows = units.select(by, F.col("unit").cast("string").alias("unit"), "part", "rep").join(payload, "rep")
+    dealt = rows.repartition(by, "unit").sortWithinPartitions(by, "unit")
+    return dealt.select(by, "unit", "part", "rep", *payload.columns[1:]).mapInArrow(frugal(_forest), "a long, b long").distinct()
+
+
+def linked(rows: DataFrame, by: str, sizes: DataFrame, payload: DataFrame) -> DataFrame:
+    """(node, component) of what the links inside the groups of rows (by, rep) connect.
+
+    sizes: by and blocks, how many blocks each group is dealt into.  payload: rep, n, sig and, where links have to be
+    confirmed, shingles; it is joined to the units of work only.
+    """
+    rows = written(rows.join(sizes, by).select(by, "rep", "blocks"), "rows")
+    large = rows.where("blocks > 1")
+    hashes = [F.xxhash64("rep", F.lit(k)) for k in range(HUBS)]
+    hubs = large.groupBy(by).agg(*[F.min(h).alias(f"hub{k}") for k, h in enumerate(hashes)])
+    hub = F.lit(False)
+    for k, h in enumerate(hashes):
+        hub = hub | (h == F.col(f"hub{k}"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    dealt = large.join(hubs, by).withColumn("unit", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).otherwise(F.array(own))))
+    names = [by, "unit", F.col("rep").alias("part"), "rep"]
+    first = rows.where("blocks = 1").withColumn("unit", F.lit(0)).select(*names).unionByName(dealt.select(*names))
+    edges = written(_worked(first, by, payload), "links")
+    found = written(components(edges), "parts")
+    if not large.limit(1).count():
+        return found
+    # Across blocks: the members of groups that still fall into several parts.
+    parts = large.select(by, "rep").join(found.select(F.col("node").alias("rep"), F.col("component").alias("part")), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
+    parts = written(parts, "parts-of-large")
+    counts = parts.groupBy(by, "part").agg(F.count("*").alias("own"))
+    half = BLOCK // 2
+    plan = counts.groupBy(by).agg(F.count("*").alias("parts"), F.sum(F.when(F.col("own") <= half, F.col("own")).otherwise(0)).alias("small"), F.collect_list(F.when(F.col("own") > half, F.struct("part", F.ceil(F.col("own") / half).cast("int").alias("pieces")))).alias("great"))
+    plan = written(plan.where("parts > 1"), "plan")
+    if not plan.limit(1).count():
+        return found
+    unit = lambda part, piece: F.struct(part.alias("part"), piece.alias("piece"))
+    none = F.lit(None).cast("bigint")
+    pooled = F.ceil(F.col("small") / half).cast("int")
+    units = F.concat(F.when(pooled > 0, F.transform(F.sequence(F.lit(0), pooled - 1), lambda k: unit(none, k))).otherwise(F.array().cast("array<struct<part: bigint, piece: int>>")), F.flatten(F.transform("great", lambda g: F.transform(F.sequence(F.lit(0), g["pieces"] - 1), lambda k: unit(g["part"], k)))))
+    plan = plan.select(by, pooled.alias("pooled"), "great", units.alias("units"))
+    pieces = F.filter("great", lambda g: g["part"] == F.col("part"))
+    mine = F.when(F.size(pieces) > 0, unit(F.col("part"), F.pmod(F.xxhash64("rep"), pieces[0]["pieces"]).cast("int"))).otherwise(unit(none, F.pmod(F.xxhash64("part"), F.col("pooled")).cast("int")))
+    placed = parts.join(plan, by).withColumn("mine", mine)
+    others = F.filter("units", lambda u: u["part"].isNull() | F.col("mine.part").isNull() | (u["part"] != F.col("mine.part")))
+    text = lambda u: F.concat_ws("/", u["part"].cast("string"), u["piece"].cast("string"))
+    pairs = placed.select(by, "rep", "part", F.explode(F.transform(others, lambda u: F.concat(F.least(text(u), text(F.col("mine"))), F.lit("|"), F.greatest(text(u), text(F.col("mine")))))).alias("unit"))
+    return written(components(edges.unionByName(_worked(pairs, by, payload))), "parts")
 
 
 def _sets(words, size: int):
@@ -186,25 +218,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     spark = docs.sparkSession
-    feats = written(docs.mapInArrow(_features(shingle_words), "doc_id long, n long, digest binary, sig binary"), "features")
+    feats = written(docs.mapInArrow(frugal(_features(shingle_words)), "doc_id long, n long, digest binary, sig binary"), "features")
     usable = feats.where("digest is not null and doc_id is not null")
     reps = written(usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies")), "classes")
 
-    keys = reps.select("rep", "sig").mapInArrow(_keys, "key long, rep long")
+    keys = reps.select("rep", "sig").mapInArrow(frugal(_keys), "key long, rep long")
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = written(keys.join(shared, "key"), "members")
-    rows = members.join(reps.select("rep", "n", "sig"), "rep").select("key", "rep", "n", "sig", F.ceil(F.col("members") / BLOCK).alias("blocks"))
-    work = _blocks(rows, "blocks", "key").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    candidates = work.select("key", "bi", "bj", "rep", "n", "sig").mapInArrow(_candidate_forest, "a long, b long").distinct()
-    clusters = written(components(candidates), "clusters")
+    sizes = members.groupBy("key").agg(F.ceil(F.first("members") / BLOCK).alias("blocks"))
+    clusters = linked(members.select("key", "rep"), "key", sizes, reps.select("rep", "n", "sig"))
 
     sizes = clusters.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
     words = spark.sparkContext.broadcast(IdFilter.build(clusters, "node").words)
-    sets = docs.where("doc_id is not null").mapInArrow(_sets(words, shingle_words), "rep long, shingles binary")
-    rows = clusters.select(F.col("node").alias("rep"), "component").join(sizes, "component").join(reps.select("rep", "n", "sig"), "rep").join(sets, "rep").where("octet_length(shingles) = 8 * n").select("component", "rep", "n", "sig", "shingles", "blocks")
-    work = _blocks(rows, "blocks", "component").repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj")
-    links = work.select("component", "bi", "bj", "rep", "n", "sig", "shingles").mapInArrow(_confirmed_forest, "a long, b long")
-    found = written(components(links), "components")
+    sets = docs.where("doc_id is not null").mapInArrow(frugal(_sets(words, shingle_words)), "rep long, shingles binary")
+    sets = reps.select("rep", "n", "sig").join(sets, "rep").where("octet_length(shingles) = 8 * n")
+    found = linked(clusters.select("component", F.col("node").alias("rep")), "component", sizes, written(sets.join(clusters.select(F.col("node").alias("rep")), "rep", "left_semi"), "sets"))
 
     final = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"), "copies")
     final = written(final, "class-components")

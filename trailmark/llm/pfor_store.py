@@ -3,21 +3,26 @@
 A shard is one binary file: header, document identifiers and lengths, an index of block starts,
 then blocks of BLOCK ids.  A block holds its minimum, the bit width that a percentile of its
 offsets from the minimum needs, the offsets packed at that width, and its outliers as
-lists of positions and high parts.  Shards are rows of a Parquet table in ascending order
-of documents, which Spark commits as a whole, so a lost executor leaves no half-written file.
+lists of positions and high parts.  Shards are files of their own below ``shards``, each under a new name, and a
+Parquet table ``manifest`` lists them in ascending order of documents.  Spark commits the manifest as a whole, with the
+files of the attempts that count, so what a lost executor has left behind is never read.
+The folder is a path or URI of any file system that Arrow knows (local or shared mounts, HDFS, S3, GCS).
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunk_encoder import WordEndEncoder, encoder
+from .stage import frugal
 
 MAGIC, BLOCK, SHARD_IDS = b"PFR1", 256, 1 << 20
 #: Magic, documents, ids, blocks, bytes of identifiers and lengths.
@@ -138,35 +143,44 @@ def read_shard(data: bytes, first: int = 0, last: int | None = None):
         yield None if none[k] else int(doc_ids[k]), begin, ids[begin - a * BLOCK : int(ends[k]) - a * BLOCK]
 
 
-def _write(path: str, end_id: int):
+MANIFEST = "part int, shard long, before long, n_docs long, n_ids long, name string"
+
+
+def _write(path: str, folder: str, end_id: int):
     def task(batches):
         from pyspark import TaskContext
 
         part, serial, before = TaskContext.get().partitionId(), 0, 0
-        enc = encoder(WordEndEncoder, path)
+        system, inner = fs.FileSystem.from_uri(folder)
         doc_ids: list = []
         documents: list[np.ndarray] = []
         size = 0
 
         def shard():
             nonlocal serial, before, size
-            out = pa.record_batch([pa.array([x], t) for x, t in ((part, pa.int32()), (serial, pa.int64()), (before, pa.int64()), (len(doc_ids), pa.int64()), (size, pa.int64()), (write_shard(doc_ids, documents), pa.binary()))], names=["part", "shard", "before", "n_docs", "n_ids", "file"])
+            name = f"{part:06d}-{serial:06d}-{uuid.uuid4().hex}.pfr"
+            with system.open_output_stream(f"{inner}/shards/{name}") as f:
+                f.write(write_shard(doc_ids, documents))
+            out = pa.record_batch([pa.array([x], t) for x, t in ((part, pa.int32()), (serial, pa.int64()), (before, pa.int64()), (len(doc_ids), pa.int64()), (size, pa.int64()), (name, pa.string()))], names=[x.split()[0] for x in MANIFEST.split(", ")])
             serial, before, size = serial + 1, before + size, 0
             doc_ids.clear()
             documents.clear()
             return out
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(x.as_py() for x in batch.column(1)), strict=True):
-                doc_ids.append(doc_id)
-                documents.append(np.append(ids, end_id).astype(np.uint32))
-                size += len(ids) + 1
-                if size >= SHARD_IDS:
-                    yield shard()
-        if doc_ids:
-            yield shard()
+        with encoder(WordEndEncoder, path) as enc:
+            for batch in batches:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(x.as_py() for x in batch.column(1)), strict=True):
+                    if not serial and not documents:
+                        system.create_dir(f"{inner}/shards", recursive=True)
+                    doc_ids.append(doc_id)
+                    documents.append(np.append(ids, end_id).astype(np.uint32))
+                    size += len(ids) + 1
+                    if size >= SHARD_IDS:
+                        yield shard()
+            if doc_ids:
+                yield shard()
 
-    return task
+    return frugal(task)
 
 
 def write_ids(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1) -> None:
@@ -174,12 +188,12 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, id_col: str = "doc_
 
     ``vocabulary`` is the path of a word-end tokenizer file on every worker.  Null texts are empty;
     null identifiers come first; rows of one identifier are ordered by a hash of their text, so a hot
-    identifier spans several tasks.  An empty table writes an empty folder; other columns are ignored.
+    identifier spans several tasks.  An empty table has an empty manifest; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(_write(vocabulary, end_id), "part int, shard long, before long, n_docs long, n_ids long, file binary").write.option("compression", "none").parquet(folder)
+    ordered.mapInArrow(_write(vocabulary, folder, end_id), MANIFEST).write.parquet(f"{folder}/manifest")
 
 
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
@@ -187,7 +201,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFra
 
     The counts of ids before each part are a prefix sum over as many rows as the files were written by tasks.
     """
-    shards = spark.read.schema("part int, shard long, before long, n_docs long, n_ids long, file binary").parquet(folder)
+    shards = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     parts = sorted(shards.groupBy("part").agg(F.sum("n_ids").alias("n")).collect())
     base, total = {}, 0
     for part, n in parts:
@@ -195,12 +209,16 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFra
         total += n
 
     def task(batches):
+        system, inner = fs.FileSystem.from_uri(folder)
         for batch in batches:
-            for part, before, data in zip(*[batch.column(c).to_pylist() for c in ("part", "before", "file")], strict=True):
+            for part, before, name in zip(*[batch.column(c).to_pylist() for c in ("part", "before", "name")], strict=True):
+                with system.open_input_file(f"{inner}/shards/{name}") as f:
+                    data = f.read()
                 rows = [(doc_id, base[part] + before + begin, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids) for doc_id, begin, ids in read_shard(data)]
                 ids = [pa.array([r[4] for r in rows], pa.list_(pa.int32()))] if with_ids else []
                 yield pa.record_batch([*[pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], *ids], names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
-    return shards.select("part", "before", "file").mapInArrow(task, schema)
+    # Many shards may share one small manifest file, so they are dealt out by name.
+    return shards.select("part", "before", "name").repartition("name").mapInArrow(frugal(task), schema)

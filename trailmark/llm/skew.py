@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stage import frugal
+
 SHARE = 1000
 
 
@@ -24,13 +26,13 @@ def attach(rows: DataFrame, table: DataFrame, key: str, count: str, total: int)
 
 
 class IdFilter:
-    """A Bloom filter of fixed size over 64-bit values: 2**bits bits at most, whatever is put in.
+    """A Bloom filter over 64-bit values, sized by their count: 2**LARGEST bits (16 MB) at most.
 
-    Its words are folded together on the executors, so the driver gets 2**(bits-6)
-    longs at most.  Beyond about 2**bits / 8 values it only passes more, never less.
+    Its words are folded together on the executors, so the driver gets 2**(LARGEST-6)
+    longs at most.  Beyond about 2**LARGEST / 8 values it only passes more, never less.
     """
 
-    HASHES = 4
+    HASHES, SMALLEST, LARGEST = 4, 16, 27
 
     def __init__(self, words: np.ndarray):
         self.words = words
@@ -45,9 +47,10 @@ class IdFilter:
         return [(h + np.uint64(k) * step) & np.uint64((1 << bits) - 1) for k in range(IdFilter.HASHES)]
 
     @classmethod
-    def build(cls, df: DataFrame, column: str, bits: int = 22) -> IdFilter:
+    def build(cls, df: DataFrame, column: str, bits: int | None = None) -> IdFilter:
         """Of the non-null bigint values of a column."""
-        import pyarrow as pa
+        if bits is None:
+            bits = min(cls.LARGEST, max(cls.SMALLEST, (10 * df.select(column).count()).bit_length()))
 
         def words(batches):
             own = np.zeros(1 << (bits - 6), np.uint64)
@@ -56,9 +59,10 @@ class IdFilter:
                 for at in cls._positions(values, bits):
                     np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
             some = np.flatnonzero(own)
-            yield pa.record_batch([pa.array(some.astype(np.int64)), pa.array(own[some].view(np.int64))], names=["at", "word"])
+            for a in range(0, len(some), 1 << 18):
+                yield pa.record_batch([pa.array(some[a : a + (1 << 18)].astype(np.int64)), pa.array(own[some[a : a + (1 << 18)]].view(np.int64))], names=["at", "word"])
 
-        got = df.select(column).mapInArrow(words, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+        got = df.select(column).mapInArrow(frugal(words), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
         out = np.zeros(1 << (bits - 6), np.uint64)
         out[got["at"].to_numpy()] = got["word"].to_numpy().view(np.uint64)
         return cls(out)
@@ -77,10 +81,10 @@ def parted(rows: DataFrame, id_col: str, wanted: IdFilter) -> tuple[DataFrame, D
     """
     words = rows.sparkSession.sparkContext.broadcast(wanted.words)
 
-    @F.pandas_udf("boolean")
-    def may(ids: pd.Series) -> pd.Series:
-        none = ids.isna()
-        return none | pd.Series(IdFilter(words.value).passes(ids.fillna(0).to_numpy().astype(np.int64)), index=ids.index)
+    @F.arrow_udf("boolean")
+    def may(ids: pa.Array) -> pa.Array:
+        ok = IdFilter(words.value).passes(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        return pa.array(ok | ids.is_null().to_numpy(zero_copy_only=False))
 
     flagged = may(F.col(id_col).cast("bigint"))
     return rows.where(~flagged), rows.where(flagged)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -17,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="trailmark-")
@@ -24,18 +29,40 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-#: Rows of a batch handed to Python: texts are long, and both sides hold a batch in memory.
-BATCH_ROWS = 1000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes of a batch handed to Python: texts may be long, and both sides hold a batch in memory.
+BATCH_BYTES = "4m"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def text_batches(spark: SparkSession) -> SparkSession:
-    """The session, with Arrow batches of BATCH_ROWS rows at most."""
-    if not 0 < int(spark.conf.get(_BATCH, "10000")) <= BATCH_ROWS:
-        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    """The session, with Arrow batches of BATCH_BYTES unless it sets a size of its own. Frames are lazy, so the setting has to stay."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     return spark
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: workers stay for a while after a task, and all of an executor's workers count."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def frugal(task):
+    """A function over batches that gives memory back when it ends."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/trailmark-{name}-{uuid.uuid4().hex}"
 
