@@ -409,6 +409,76 @@ def test_language_model_knows_rare_contexts(spark):
     assert got[1].score - got[2].score > 100  # the same words but for the pairs; without contexts the scores are equal
 
 
+def plain_sampler(train, sweeps=40, burn_in=15, seed=3):
+    """The same two-level model, customer by customer: p(word, context) averaged over samples."""
+    rng = random.Random(seed)
+    theta, counts, light, total = pitman_yor.THETA, collections.Counter(), collections.Counter(), collections.Counter()
+    for text in train:
+        light[text[0]] += 1
+        total.update(text)
+        counts.update(zip(text, text[1:], strict=False))
+    clip = lambda once, twice: min(0.95, max(0.05, once / (once + 2 * twice) if once else 0.5))
+    d = clip(*[sum(c == k for c in counts.values()) for k in (1, 2)])
+    tables = {key: [c] for key, c in counts.items()}
+    customers, opened, served = collections.Counter(), collections.Counter(), collections.Counter(light)
+    for (u, w), c in counts.items():
+        customers[u] += c
+        opened[u] += 1
+        served[w] += 1
+    samples = []
+    for sweep in range(sweeps):
+        d0 = clip(*[sum(c == k for c in served.values()) for k in (1, 2)])
+        root = lambda w, d0=d0: (served[w] - d0 if served[w] > 0 else theta + d0 * len(total)) / (theta + sum(served.values()))
+        for (u, w), c in counts.items():
+            for _ in range(c if c > 1 else 0):
+                at = rng.choices(range(len(tables[u, w])), tables[u, w])[0]
+                tables[u, w][at] -= 1
+                if not tables[u, w][at]:
+                    tables[u, w].pop(at)
+                    opened[u] -= 1
+                    served[w] -= 1
+                pull = (theta + d * opened[u]) * root(w)
+                at = rng.choices(range(len(tables[u, w]) + 1), [*[n - d for n in tables[u, w]], pull])[0]
+                if at == len(tables[u, w]):
+                    tables[u, w].append(1)
+                    opened[u] += 1
+                    served[w] += 1
+                else:
+                    tables[u, w][at] += 1
+        if sweep >= burn_in:
+            d0 = clip(*[sum(c == k for c in served.values()) for k in (1, 2)])
+            samples.append((dict(served), dict(opened), {k: len(v) for k, v in tables.items()}, d0, sum(served.values())))
+
+    def p(w, u=None):
+        out = 0.0
+        for served, opened, t, d0, n in samples:
+            base = (served[w] - d0 if served.get(w, 0) > 0 else theta + d0 * len(total)) / (theta + n)
+            out += base if u is None else (counts[u, w] - d * t.get((u, w), 0) + (theta + d * opened.get(u, 0)) * base) / (theta + customers[u])
+        return out / len(samples)
+
+    return p
+
+
+def test_language_model_against_a_plain_sampler(spark):
+    rng = random.Random(9)
+    after = {w: [rng.randrange(30) for _ in range(4)] for w in range(30)}
+    rows = []
+    for i in range(150):
+        words = [rng.randrange(30)]
+        while len(words) < 30:
+            words.append(rng.choice(after[words[-1]]) if rng.random() < 0.8 else rng.randrange(40))
+        rows.append((i, " ".join(f"w{x}" for x in words)))
+    got = {r.doc_id: r for r in pitman_yor.scored(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") >= 120).collect()}
+    tokens = {i: [*t.split(), "<end>"] for i, t in rows}
+    p = plain_sampler([tokens[i] for i in range(120)])
+    for i, own in tokens.items():
+        want = math.log10(p(own[0])) + sum(math.log10(p(w, u)) for u, w in zip(own, own[1:], strict=False))
+        assert abs(got[i].score - want) < 0.02 * len(own)
+        assert math.isclose(got[i].perplexity, 10 ** (-got[i].score / len(own)))
+    held = [got[i] for i in range(120, 150)]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
 def test_seating_is_consistent():
     rng = np.random.default_rng(1)
     counts = rng.integers(2, 50, 300)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import functools
+import gc
 import shutil
 import tempfile
 import uuid
@@ -84,6 +85,12 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def collect_shuffles(spark: SparkSession) -> None:
+    """Ask for shuffle files that no plan needs any more to be deleted now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete every table this package wrote to the shared folder; results that still read them become invalid."""
     jvm = spark.sparkContext._jvm
