@@ -1,16 +1,17 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame operations only.
 
-A paragraph is a line with the line ends after it; a longer line is cut every PARAGRAPH code points.  A sketch has three
-sub-tables; each digest adds one to the count of its cell in each, and itself and its check to the cell's sums, so
-repeated paragraphs count as often as they occur.  The sketch of one text minus that of another holds the difference; peeling
-takes digests from cells that hold one digest only, a sub-table at a time, until no cell is left, and gives them with their copies,
-negative for the other text's.  A sub-table has a power of two of cells, by the paragraphs of the text; a pair of texts is
-compared in the size of the larger one, so where both have that size it is the returned sketches that are subtracted (sums of
-digests are linear, so they are made of the digests of both at once).  Where cells are left,
-the pair is tried again with a larger table and other hashes.
+A paragraph is a line with the line ends after it; a longer line is cut every PARAGRAPH code points.  The sketch of a text in a size m has
+three sub-tables of m cells; each digest adds one to the count of its cell in each, and itself and its check to the cell's sums, so
+repeated paragraphs count as often as they occur.  A cell's place in a sub-table is a hash modulo m, a power of two, so a sketch
+folds to any smaller size by adding cells up; the returned one has the size that the text's own paragraphs ask for.
+
+Two texts are compared in the size that an estimate of their difference asks for (from a sample of their digests), at least the larger of their
+own.  Each is sketched in that size, the sketches are subtracted cell by cell, and peeling takes digests from cells that hold one digest only, a
+sub-table at a time, until no cell is left; it gives them with their copies, negative for the other text's.
+Where cells are left, both are sketched again in a larger size with other hashes.
 
 Rows meet their neighbour by a window over ranges of identifiers; each range also gets the first row of the next range.
-The digests are written as a table bucketed by range, so that all sums and peeling rounds need no shuffle, and neither do retries.
+Digests and cells are written as tables bucketed by range, of a few megabytes of text each, so that sums and peeling need no shuffle, and neither do retries.
 """
 
 from __future__ import annotations
@@ -21,11 +22,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stage import written
+from . import stage
 
-PARAGRAPH, ROWS_PER_RANGE, SIDE = 120, 1000, 256
-#: Least cells of a sub-table for each paragraph of a pair's larger text, and peeled sub-tables, of each attempt.
-ATTEMPTS = ((1.6, 9), (3.2, 12), (6.4, 15), (12.8, 18), (25.6, 24))
+PARAGRAPH, ROWS_PER_RANGE, SIDE, BUCKET_BYTES = 64, 250, 256, 4 << 20
+#: Cells of a sub-table for each paragraph of a text, and for each digest that two texts are thought to differ in.
+OWN, DIFFERING = 0.5, 0.8
+#: By attempt: times the cells, and peeled sub-tables.
+ATTEMPTS = ((1, 9), (4, 9), (16, 12), (64, 12), (256, 24))
+#: Peeled sub-tables between two writes; digests of which one in SAMPLED is looked at to estimate a difference.
+STEPS, SAMPLED = 3, 8
 LEAST = -(2**63)
 
 
@@ -78,84 +83,116 @@ def _check(key: str, seed: int) -> str:
     return f"shiftright(xxhash64({key}, {seed + 1000}), 32)"
 
 
-def _cells_for(paragraphs: str, factor: float) -> Column:
-    """Cells of a sub-table: a power of two, 4 at least."""
-    return F.expr(f"cast(greatest(4, power(2, ceil(log2(greatest(1, {factor} * {paragraphs}))))) as int)").alias("m")
+def _power(cells: str) -> str:
+    """The power of two at or above a number of cells, 4 at least."""
+    return f"cast(greatest(4, power(2, ceil(log2(greatest(1, {cells}))))) as int)"
 
 
-def _cells(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
-    """The cells that hold something, of items (keys with m, key, sign)."""
+def _sketch(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
+    """The cells (keys, cell, c, k, q) that hold something, of items (keys with m, key)."""
     put = ", ".join(f"{s} * m + {_position('key', str(s), seed)}" for s in range(3))
-    cells = items.select(*keys, "sign", "key", F.expr(_check("key", seed)).alias("chk"), F.expr(f"explode(array({put}))").alias("cell"))
-    cells = cells.groupBy(*keys, "cell").agg(F.sum("sign").alias("c"), F.sum(F.expr("sign * key")).alias("k"), F.sum(F.expr("sign * chk")).alias("q"))
-    return cells.where("c <> 0 or k <> 0 or q <> 0")
+    cells = items.select(*keys, "key", F.expr(_check("key", seed)).alias("chk"), F.expr(f"explode(array({put}))").alias("cell"))
+    return cells.groupBy(*keys, "cell").agg(F.count("*").alias("c"), F.sum("key").alias("k"), F.sum("chk").alias("q"))
 
 
 def sketches(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Per (range, rn) with any digest: the sketch of each array named, as text, null if it is empty.
+    """Per (range, rn) with any digest: the sketch of each array named in its own size, as text, null if it is empty.
 
     Cells of a sub-table, then each cell that holds something: its number, count, sum and check sum in hexadecimal.
     """
     keys = ["range", "rn", "side", "m"]
     items = table.select("range", "rn", F.posexplode(F.array(*columns)).alias("side", "own"))
-    items = items.select("range", "rn", "side", _cells_for("size(own)", ATTEMPTS[0][0]), F.explode("own").alias("key"))
-    items = items.withColumns({"key": F.col("key").cast("long"), "sign": F.lit(1).cast("long")})
-    cells = _cells(items, keys, 0)
+    items = items.select("range", "rn", "side", F.expr(_power(f"{OWN} * size(own)")).alias("m"), F.explode("own").alias("key"))
+    cells = _sketch(items.withColumn("key", F.col("key").cast("long")), keys, 0)
     text = "struct(cell, m, concat_ws('.', hex(cell), hex(c), hex(k), hex(q)) as t)"
     lists = [F.array_sort(F.collect_list(F.expr(f"if(side = {n}, {text}, null)"))).alias(f"s{n}") for n in range(len(columns))]
     whole = [F.expr(f"if(size(s{n}) > 0, concat(hex(s{n}[0].m), ':', array_join(transform(s{n}, x -> x.t), '-')), null) as s{n}") for n in range(len(columns))]
     return cells.groupBy("range", "rn").agg(*lists).select("range", "rn", *whole)
 
 
-_SIGNED = "concat(transform(plus, x -> struct(x as key, 1 as sign)), transform(minus, x -> struct(x as key, -1 as sign)))"
 #: A digest that was taken is kept as a cell below 0.
 _TAKEN = "(-1 - own - 2147483648)"
 _DIGEST = "cast(-1 - cell - 2147483648 as int)"
+_KEYS = ["range", "rn", "pair", "m"]
 
 
-def _peeled(pairs: DataFrame, factor: float, rounds: int, seed: int) -> DataFrame:
-    """Per (range, rn, pair) that differs: found, the digests recovered with their copies, and stuck, the cells left.
+def _estimate(a: str, b: str) -> str:
+    """In how many digests two arrays are thought to differ: all of the smaller ones, or by a sample."""
+    sample = lambda x: f"filter({x}, d -> pmod(d, {SAMPLED}) = 0)"
+    found = f"size(array_except({sample(a)}, {sample(b)})) + size(array_except({sample(b)}, {sample(a)}))"
+    return f"least(size({a}) + size({b}), {1.25 * SAMPLED} * ({found}) + 16)"
 
-    pairs: range, rn, pair, plus and minus (arrays of digests).  All steps keep the partitioning by range.
-    """
-    keys = ["range", "rn", "pair", "m"]
-    items = pairs.select("range", "rn", "pair", _cells_for("greatest(size(plus), size(minus))", factor), F.explode(F.expr(_SIGNED)).alias("i"))
-    cells = _cells(items.select(*keys, F.col("i.key").cast("long").alias("key"), F.col("i.sign").cast("long").alias("sign")), keys, seed)
-    for r in range(rounds):
+
+def _subtracted(table: DataFrame, left: str, right: list[str], times: int, seed: int) -> DataFrame:
+    """Per (range, rn, pair): the cells of the sketch of left minus that of each array of right, without those that hold nothing."""
+    own = ", ".join(f"{OWN} * size({x})" for x in (left, *right))
+    differing = ", ".join(f"{DIFFERING} * ({_estimate(left, x)})" for x in right)
+    sized = table.withColumn("m", F.expr(f"{times} * {_power(f'greatest({own}, {differing})')}"))
+    items = sized.select("range", "rn", "m", "wanted", F.posexplode(F.array(left, *right)).alias("side", "own")).where("side = 0 or wanted is null or array_contains(wanted, side - 1)")
+    items = items.select("range", "rn", "m", "wanted", "side", F.explode("own").alias("key")).withColumn("key", F.col("key").cast("long"))
+    cells = _sketch(items, ["range", "rn", "m", "wanted", "side"], seed)
+    pairs = f"if(side = 0, transform(filter(sequence(0, {len(right) - 1}), p -> wanted is null or array_contains(wanted, p)), p -> struct(p as pair, 1 as sign)), array(struct(side - 1 as pair, -1 as sign)))"
+    cells = cells.select("range", "rn", "m", "cell", "c", "k", "q", F.explode(F.expr(pairs)).alias("p"))
+    return _summed(cells.select("range", "rn", "p.pair", "m", "cell", *[(F.col(x) * F.col("p.sign")).alias(x) for x in "ckq"]))
+
+
+def _summed(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(*_KEYS, "cell").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("q").alias("q")).where("c <> 0 or k <> 0 or q <> 0")
+
+
+def _peeled(cells: DataFrame, first: int, rounds: int, seed: int) -> DataFrame:
+    """Cells after so many more rounds; round r takes the digests that are alone in a cell of sub-table r mod 3."""
+    for r in range(first, first + rounds):
         s = r % 3
         cells = cells.withColumn("own", F.expr("k div nullif(c, 0)"))
         pure = f"cell >= 0 and cell div m = {s} and c <> 0 and own * c = k and own between -2147483648 and 2147483647 and {_check('own', seed)} * c = q and {s} * m + {_position('own', str(s), seed)} = cell"
         others = ", ".join(f"struct({o} * m + {_position('own', str(o), seed)} as cell, -c as c, -k as k, -q as q)" for o in range(3) if o != s)
         step = f"explode(if({pure}, array(struct({_TAKEN} as cell, c, 0L as k, 0L as q), {others}), array(struct(cell, c, k, q))))"
-        cells = cells.select(*keys, F.expr(step).alias("x")).select(*keys, "x.*")
-        cells = cells.groupBy(*keys, "cell").agg(F.sum("c").alias("c"), F.sum("k").alias("k"), F.sum("q").alias("q")).where("c <> 0 or k <> 0 or q <> 0")
-    found = F.collect_list(F.expr(f"if(cell < 0, struct({_DIGEST} as digest, cast(c as int) as copies), null)"))
-    return cells.groupBy("range", "rn", "pair").agg(F.array_sort(found).alias("found"), F.count_if(F.col("cell") >= 0).alias("stuck"))
+        cells = _summed(cells.select(*_KEYS, F.expr(step).alias("x")).select(*_KEYS, "x.*"))
+    return cells
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """df written to the shared folder in buckets by range, and read back; its name in the catalogue is gone at once."""
+    spark = df.sparkSession
+    name = f"trailmark_{uuid.uuid4().hex}"
+    path = stage.new_path(spark, "buckets")
+    df.write.bucketBy(buckets, "range").option("path", path).option("compression", "zstd").saveAsTable(name)
+    out = spark.table(name)
+    out.schema  # resolved while the name is there
+    spark.sql(f"DROP TABLE {name}")
+    out.written_path = path
+    stage.collect_shuffles(spark)
+    return out
 
 
-def differences(table: DataFrame, left: str, right: list[str]) -> DataFrame:
-    """For each row of a table bucketed by range (range, rn, arrays of digests) and each array named in right: pair (its place), found.
+def differences(table: DataFrame, left: str, right: list[str], buckets: int) -> list[DataFrame]:
+    """For rows of a table bucketed by range (range, rn, arrays of digests) and each array named in right, by attempt: range, rn, pair (its place), found.
 
     found has the digests of which one of the two has more, in order, and how many more: above 0 for left, below for right;
-    pairs without any are left out.
+    pairs without any are left out.  Pairs that no size could peel are an error: that takes different digests with the same places in five sizes.
     """
-    pairs = table.select("range", "rn", F.col(left).alias("plus"), F.posexplode(F.array(*right)).alias("pair", "minus"))
-    out, todo = [], pairs
-    for seed, (factor, rounds) in enumerate(ATTEMPTS):
-        got = written(_peeled(todo, factor, rounds, seed), "peeled")
-        out.append(got.where("stuck = 0").select("range", "rn", "pair", "found"))
-        stuck = got.where("stuck > 0").select("range", "rn", "pair")
+    spark = table.sparkSession
+    out, todo = [], table.withColumn("wanted", F.lit(None).cast("array<int>"))
+    found = F.array_sort(F.collect_list(F.expr(f"if(cell < 0, struct({_DIGEST} as digest, cast(c as int) as copies), null)")))
+    for seed, (times, rounds) in enumerate(ATTEMPTS):
+        cells, done = _subtracted(todo, left, right, times, seed), 0
+        while done < rounds:
+            before = cells
+            cells = _bucketed(_peeled(cells, done, min(STEPS, rounds - done), seed), buckets)
+            if done:
+                stage.discard(before)
+            done += STEPS
+            if not cells.where("cell >= 0").limit(1).count():
+                break
+        stuck = cells.where("cell >= 0").select("range", "rn", "pair").distinct()
+        got = cells.groupBy("range", "rn", "pair").agg(found.alias("found"), F.count_if(F.col("cell") >= 0).alias("stuck")).where("stuck = 0").drop("stuck")
+        out.append(got)
+        stuck = _bucketed(stuck.groupBy("range", "rn").agg(F.array_sort(F.collect_list("pair")).alias("wanted")), buckets)
         if not stuck.limit(1).count():
-            break
-        todo = pairs.join(stuck, ["range", "rn", "pair"], "left_semi")
-    else:  # practically never: what no table could tell apart is counted from the digests
-        rest = todo.select("range", "rn", "pair", F.explode(F.expr(_SIGNED)).alias("i"))
-        rest = rest.groupBy("range", "rn", "pair", F.col("i.key").alias("digest")).agg(F.sum("i.sign").cast("int").alias("copies")).where("copies <> 0")
-        out.append(rest.groupBy("range", "rn", "pair").agg(F.array_sort(F.collect_list(F.struct("digest", "copies"))).alias("found")))
-    found = out[0]
-    for x in out[1:]:
-        found = found.unionByName(x)
-    return found
+            return out
+        todo = table.join(stuck, ["range", "rn"])
+    raise ValueError(f"sketches of {spark.createDataFrame(stuck.limit(1).collect(), stuck.schema).first()} can't be peeled")
 
 
 def _likeness(a: str, b: str, d: str) -> Column:
@@ -173,18 +210,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null texts are empty; repeated rows and identifiers are rows of their own; the only row of a table is its own next.
     An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    rows = with_next(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")))
-    rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(1, min(20_000, math.ceil(size / BUCKET_BYTES)))
+    rows = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 as int)), substring(next_text, 1, cast(n_chars div 3 as int)))"))
     made = rows.select("range", "rn", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("b"))
-    name = f"trailmark_digests_{uuid.uuid4().hex}"
-    made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "range").saveAsTable(name)
-    table = spark.table(name)
-    found = differences(table, "a", ["e", "b"])
-    found = found.groupBy("range", "rn").agg(*[F.first(F.expr(f"if(pair = {n}, found, null)"), ignorenulls=True).alias(f"d{n}") for n in (0, 1)])
+    table = _bucketed(made, buckets)
+    found = None
+    for got in differences(table, "a", ["e", "b"], buckets):
+        got = got.groupBy("range", "rn").agg(*[F.first(F.expr(f"if(pair = {n}, found, null)"), ignorenulls=True).alias(f"f{n}") for n in (0, 1)])
+        found = got if found is None else found.join(got.select("range", "rn", *[F.col(f"f{n}").alias(f"g{n}") for n in (0, 1)]), ["range", "rn"], "full").select("range", "rn", *[F.coalesce(f"f{n}", f"g{n}").alias(f"f{n}") for n in (0, 1)])
     both = table.join(found, ["range", "rn"], "left").join(sketches(table, ["a", "e"]), ["range", "rn"], "left")
     none = F.expr("cast(array() as array<struct<digest: int, copies: int>>)")
-    both = both.withColumns({f"d{n}": F.coalesce(f"d{n}", none) for n in (0, 1)} | {f"s{n}": F.coalesce(f"s{n}", F.lit("4:")) for n in (0, 1)})
+    both = both.withColumns({f"d{n}": F.coalesce(f"f{n}", none) for n in (0, 1)} | {f"s{n}": F.coalesce(f"s{n}", F.lit("4:")) for n in (0, 1)})
     d = [f"aggregate(d{n}, 0L, (s, x) -> s + abs(x.copies))" for n in (0, 1)]
     return both.select("doc_id", "n_chars", "edited_sha256", F.col("s0").alias("fingerprint"), F.col("s1").alias("edited_fingerprint"), _likeness("a", "e", d[0]).alias("near_edited"), _likeness("a", "b", d[1]).alias("near_next"), F.col("d0").alias("edited_differs"), F.col("d1").alias("next_differs"))
