@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sequences import ordinals
+
 #: Cell tables below this many rows may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -49,9 +51,9 @@ def within(left: DataFrame, right: DataFrame, distance: float, left_id: str, rig
 
 
 def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
-    """Rows side by side in their orders, over a full outer join, so that a length mismatch shows as nulls."""
-    number = lambda d, o: d.withColumn("__n", F.row_number().over(Window.orderBy(o)))
-    return number(left, left_order).join(number(right, right_order), "__n", "full").drop("__n")
+    """Rows side by side in their orders (n from 0), over a full outer join, so that a length mismatch shows as nulls."""
+    number = lambda d, o: ordinals(d, o).withColumnRenamed("ordinal", "n")
+    return number(left, left_order).join(number(right, right_order), "n", "full")
 
 
 def zbuffer(pixels: DataFrame, *value: str) -> DataFrame:

@@ -30,13 +30,40 @@ def gaps(frames: DataFrame, group: str, index: str) -> DataFrame:
     return frames.groupBy(group).agg(F.min(index).alias("first"), F.max(index).alias("last"), F.count("*").alias("n"), F.countDistinct(index).alias("d")).select(group, "first", "last", "n", ((F.col("last") - F.col("first") + 1 == F.col("n")) & (F.col("d") == F.col("n"))).alias("contiguous"))
 
 
+#: Rows of a range, and ranges, of a global order.
+RANGE_ROWS, MAX_RANGES = 200_000, 4096
+
+
+def ranged(rows: DataFrame, order: str, part: str = "__part", range_rows: int | None = None) -> DataFrame:
+    """rows with the number of their range of a global order: ranges of about RANGE_ROWS rows, nulls in the first.
+
+    The ranges' bounds are read once, so however often the result is evaluated, and with whichever columns, a row is in the same range.
+    """
+    keys = rows.select(order)
+    ranges = max(1, min(MAX_RANGES, -(-keys.count() // (range_rows or RANGE_ROWS))))
+    if ranges == 1:
+        return rows.withColumn(part, F.lit(0))
+    least = keys.where(F.col(order).isNotNull()).repartitionByRange(ranges, order).groupBy(F.spark_partition_id()).agg(F.min(order).alias("b")).select("b")
+    bounds = sorted(r.b for r in least.collect())[1:]  # one for each range
+    side = max(1, round(len(bounds) ** 0.5))
+    blocks = [bounds[i : i + side] for i in range(0, len(bounds), side)]
+    heads = F.array(*[F.lit(b[0]) for b in blocks]) if blocks else None
+    if heads is None:
+        return rows.withColumn(part, F.lit(0))
+    key = F.col(order)
+    before = lambda values: F.size(F.filter(values, lambda b: b <= key))
+    block = before(heads)
+    inside = F.element_at(F.array(*[F.array(*[F.lit(b) for b in x]) for x in blocks]), F.greatest(block, F.lit(1)))
+    return rows.withColumn(part, F.when(key.isNull() | (block == 0), 0).otherwise((block - 1) * side + before(inside)))
+
+
 def offsets(sizes: DataFrame, order: str, n: str) -> DataFrame:
     """Global start of each group: the sum of the sizes before it.
 
-    Scales by ranges of the order: sums within a range, and a prefix sum over as many rows as ranges.
+    Scales by ranges of the order: sums within a range, and a prefix sum over as many rows as ranges. The order should be unique; nulls come first.
     """
-    part = sizes.repartitionByRange(order).withColumn("__part", F.spark_partition_id())
-    own = Window.partitionBy("__part").orderBy(order)
+    part = ranged(sizes, order)
+    own = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = part.withColumn("__before", F.sum(n).over(own) - F.col(n))
     totals = part.groupBy("__part").agg(F.sum(n).alias("__n"))
     base = totals.withColumn("__base", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).select("__part", "__base")

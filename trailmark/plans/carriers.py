@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.grid import decode, z_up_to_y_down
+from ..functions.grid import cell, decode, z_up_to_y_down
 from ..operators.sequences import offsets
 
 
@@ -20,6 +20,16 @@ def points(spark: SparkSession, d: str) -> DataFrame:
     return raw.select(x.alias("x"), y.alias("y"), z.alias("z"), "l_orderkey", "l_tax", "l_discount")
 
 
+#: Cells of 0.1 m from the origin to the points' greatest coordinates, as SQL on points.
+GRID = "spec AS (SELECT CAST(max(floor(x / 0.1::DOUBLE)) AS BIGINT) + 1 AS w, CAST(max(floor(z / 0.1::DOUBLE)) AS BIGINT) + 1 AS h FROM points), grid AS (SELECT i, j FROM (SELECT unnest(range(w)) AS i FROM spec), (SELECT unnest(range(h)) AS j FROM spec))"
+
+
+def extent(spark: SparkSession, d: str) -> tuple[int, int]:
+    """Width and height of that grid, from the points' bounds; one cell where there are no points."""
+    at = points(spark, d).agg(F.max(cell(F.col("x"), 0.0, 0.1)).alias("w"), F.max(cell(F.col("z"), 0.0, 0.1)).alias("h")).first()
+    return (at.w or 0) + 1, (at.h or 0) + 1
+
+
 def frames(spark: SparkSession, d: str) -> DataFrame:
     """events as episodes: ep, frame, x, z."""
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")

@@ -12,9 +12,6 @@ from ..operators import sequences as S
 from . import carriers as T
 from .registry import ORACLES, QUERIES, c, query, r  # noqa: F401
 
-W, H = 200, 100  # cells of the raster carriers: 0.1 m over x 0..20, z 0..10
-
-
 # Projections and scalar mathematics
 
 
@@ -170,11 +167,9 @@ def j01(s, d):
     return M.classified(p, obstacle_cells(s, d)).groupBy("hit").agg(F.count("*").alias("n"))
 
 
-@query("j05_positional_zip", "SELECT n, id, vec_id FROM (SELECT row_number() OVER (ORDER BY s_suppkey) AS n, s_suppkey AS id FROM supplier) a FULL JOIN (SELECT row_number() OVER (ORDER BY p_partkey) AS n, p_partkey AS vec_id FROM part WHERE p_partkey <= 120) b USING (n)")
+@query("j05_positional_zip", "SELECT n, id, vec_id FROM (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS n, s_suppkey AS id FROM supplier) a FULL JOIN (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS n, p_partkey AS vec_id FROM part) b USING (n)")
 def j05(s, d):
-    a = T.table(s, d, "supplier").select(F.row_number().over(Window.orderBy("s_suppkey")).cast("bigint").alias("n"), c("s_suppkey").alias("id"))
-    b = T.table(s, d, "part").where("p_partkey <= 120").select(F.row_number().over(Window.orderBy("p_partkey")).cast("bigint").alias("n"), c("p_partkey").alias("vec_id"))
-    return a.join(b, "n", "full").select("n", "id", "vec_id")
+    return M.positional(T.table(s, d, "supplier").select(c("s_suppkey").alias("id")), T.table(s, d, "part").select(c("p_partkey").alias("vec_id")), "id", "vec_id").select("n", "id", "vec_id")
 
 
 @query("j06_metrics_by_id", "SELECT o_orderpriority AS kind, count(*) AS n, round(avg(length), 6) AS length FROM routes JOIN orders ON id = o_orderkey GROUP BY 1", "routes")
@@ -182,9 +177,9 @@ def j06(s, d):
     return T.routes(s, d).join(T.table(s, d, "orders").select(c("o_orderkey").alias("id"), "o_orderpriority"), "id").groupBy(c("o_orderpriority").alias("kind")).agg(F.count("*").alias("n"), r(F.avg("length")).alias("length"))
 
 
-@query("j07_frames_in_ranges", "SELECT k, count(*) AS n FROM events JOIN (SELECT o_orderkey AS k, o_orderkey * 3 AS a, o_orderkey * 3 + o_custkey % 40 AS b FROM orders WHERE o_orderkey % 7 = 0) q ON event_id BETWEEN a AND b GROUP BY 1")
+@query("j07_frames_in_ranges", "SELECT k, count(*) AS n FROM events JOIN (SELECT o_orderkey AS k, o_orderkey * 3 AS a, o_orderkey * 3 + o_custkey % 40 AS b FROM orders) q ON event_id BETWEEN a AND b GROUP BY 1")
 def j07(s, d):
-    q = T.table(s, d, "orders").where("o_orderkey % 7 = 0").select(c("o_orderkey").alias("k"), (c("o_orderkey") * 3).alias("a"), (c("o_orderkey") * 3 + c("o_custkey") % 40).alias("b"))
+    q = T.table(s, d, "orders").select(c("o_orderkey").alias("k"), (c("o_orderkey") * 3).alias("a"), (c("o_orderkey") * 3 + c("o_custkey") % 40).alias("b"))
     return M.in_ranges(T.table(s, d, "events").select("event_id"), q, "event_id", "a", "b", 64).groupBy("k").agg(F.count("*").alias("n"))
 
 
@@ -404,36 +399,47 @@ def u05(s, d):
     return T.geometry(s, d).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
 
 
-_GRID = f"grid AS (SELECT i, j FROM range(0, {W}) a(i), range(0, {H}) b(j)), inside AS (SELECT * FROM cells WHERE i BETWEEN 0 AND {W - 1} AND j BETWEEN 0 AND {H - 1})"
+@query("r02_dilate", f", {_CELLS}, {T.GRID} SELECT DISTINCT c.i + di AS i, c.j + dj AS j FROM cells c, range(-1, 2) a(di), range(-1, 2) b(dj), spec WHERE c.i + di BETWEEN 0 AND w - 1 AND c.j + dj BETWEEN 0 AND h - 1", "points")
+def r02(s, d):
+    return C.dilate(obstacle_cells(s, d), 1, *T.extent(s, d)).select("i", "j")
 
 
-def inside_cells(s, d):
-    return obstacle_cells(s, d).where(c("i").between(0, W - 1) & c("j").between(0, H - 1))
+@query("r02_erode", f", {_CELLS}, {T.GRID}, far AS (SELECT DISTINCT g.i + di AS i, g.j + dj AS j FROM (SELECT * FROM grid ANTI JOIN cells USING (i, j)) g, range(-1, 2) a(di), range(-1, 2) b(dj)) SELECT i, j FROM cells ANTI JOIN far USING (i, j)", "points")
+def r02e(s, d):
+    return C.erode(obstacle_cells(s, d), 1, *T.extent(s, d)).select("i", "j")
 
 
-@query("r02_dilate", f", {_CELLS}, {_GRID} SELECT DISTINCT g.i, g.j FROM grid g JOIN inside c ON g.i - c.i BETWEEN -1 AND 1 AND g.j - c.j BETWEEN -1 AND 1", "points")
-def r02(s, d):
-    return C.dilate(inside_cells(s, d), 1, W, H).select("i", "j")
+_BOX = "SELECT {a}.i + di AS i, {a}.j + dj AS j FROM {a}, range(-1, 2) a(di), range(-1, 2) b(dj), spec WHERE {a}.i + di BETWEEN 0 AND w - 1 AND {a}.j + dj BETWEEN 0 AND h - 1"
+_OPENED = f"out1 AS (SELECT * FROM grid ANTI JOIN cells USING (i, j)), far1 AS (SELECT DISTINCT * FROM ({_BOX.format(a='out1')})), left1 AS (SELECT i, j FROM cells ANTI JOIN far1 USING (i, j))"
+_CLOSED = f"wide2 AS (SELECT DISTINCT * FROM ({_BOX.format(a='cells')})), out2 AS (SELECT * FROM grid ANTI JOIN wide2 USING (i, j)), far2 AS (SELECT DISTINCT * FROM ({_BOX.format(a='out2')}))"
 
 
-@query("r02_erode", f", {_CELLS}, {_GRID}, far AS (SELECT DISTINCT g.i, g.j FROM grid g JOIN (SELECT * FROM grid ANTI JOIN inside USING (i, j)) c ON g.i - c.i BETWEEN -1 AND 1 AND g.j - c.j BETWEEN -1 AND 1) SELECT i, j FROM inside ANTI JOIN far USING (i, j)", "points")
-def r02e(s, d):
-    return C.erode(inside_cells(s, d), 1, W, H).select("i", "j")
+@query("r02_open", f", {_CELLS}, {T.GRID}, {_OPENED} SELECT DISTINCT * FROM ({_BOX.format(a='left1')})", "points")
+def r02o(s, d):
+    return C.opened(obstacle_cells(s, d), 1, *T.extent(s, d)).select("i", "j")
+
+
+@query("r02_close", f", {_CELLS}, {T.GRID}, {_CLOSED} SELECT i, j FROM wide2 ANTI JOIN far2 USING (i, j)", "points")
+def r02c(s, d):
+    return C.closed(obstacle_cells(s, d), 1, *T.extent(s, d)).select("i", "j")
 
 
-@query("r03_dilate_disc", f", {_CELLS}, {_GRID}, k AS (SELECT dx, dy FROM range(-3, 4) a(dx), range(-3, 4) b(dy) WHERE abs(dx) <= round_even(3 * sqrt(1 - dy * dy / 9.0::DOUBLE), 0)) SELECT DISTINCT c.i + dx AS i, c.j + dy AS j FROM inside c, k WHERE c.i + dx BETWEEN 0 AND {W - 1} AND c.j + dy BETWEEN 0 AND {H - 1}", "points")
+@query("r03_dilate_disc", f", {_CELLS}, {T.GRID}, k AS (SELECT dx, dy FROM range(-3, 4) a(dx), range(-3, 4) b(dy) WHERE abs(dx) <= round_even(3 * sqrt(1 - dy * dy / 9.0::DOUBLE), 0)) SELECT DISTINCT c.i + dx AS i, c.j + dy AS j FROM cells c, k, spec WHERE c.i + dx BETWEEN 0 AND w - 1 AND c.j + dy BETWEEN 0 AND h - 1", "points")
 def r03(s, d):
-    return C.dilate_disc(inside_cells(s, d), 3, W, H).select("i", "j")
+    return C.dilate_disc(obstacle_cells(s, d), 3, *T.extent(s, d)).select("i", "j")
+
+
+_NEAR = "near AS (SELECT i, j, min(d2) AS d2 FROM (SELECT c.i + di AS i, c.j + dj AS j, di * di + dj * dj AS d2 FROM cells c, range(-5, 6) a(di), range(-5, 6) b(dj) WHERE di * di + dj * dj <= 25) JOIN grid USING (i, j) GROUP BY ALL), rest AS (SELECT g.i, g.j, min((g.i - c.i) * (g.i - c.i) + (g.j - c.j) * (g.j - c.j)) AS d2 FROM (SELECT * FROM grid ANTI JOIN near USING (i, j)) g, cells c GROUP BY ALL)"
 
 
-@query("r07_distance", f", {_CELLS}, {_GRID} SELECT g.i, g.j, round(coalesce(sqrt(min((g.i - c.i) * (g.i - c.i) + (g.j - c.j) * (g.j - c.j))), 5) * 0.1::DOUBLE, 6) AS distance_m FROM grid g LEFT JOIN inside c ON abs(g.i - c.i) <= 5 AND abs(g.j - c.j) <= 5 AND (g.i - c.i) * (g.i - c.i) + (g.j - c.j) * (g.j - c.j) <= 25 GROUP BY ALL", "points")
+@query("r07_distance", f", {_CELLS}, {T.GRID}, {_NEAR} SELECT i, j, round(sqrt(d2) * 0.1::DOUBLE, 6) AS distance_m FROM (SELECT * FROM near UNION ALL SELECT * FROM rest)", "points")
 def r07(s, d):
-    return C.nearest_distance(C.grid(s, W, H), inside_cells(s, d), 5, 0.1).select("i", "j", r(c("distance_m")).alias("distance_m"))
+    return C.nearest_distance(C.grid(s, *T.extent(s, d)), obstacle_cells(s, d), 5, 0.1).select("i", "j", r(c("distance_m")).alias("distance_m"))
 
 
-@query("r08_polygon_cells", f"SELECT i, j FROM (SELECT i, j, (i + 0.5::DOUBLE) * 0.1::DOUBLE AS x, (j + 0.5::DOUBLE) * 0.1::DOUBLE AS z FROM range(0, {W}) a(i), range(0, {H}) b(j)) WHERE 6 * (z - 1) - 1 * (x - 2) >= -1e-9 AND -2 * (z - 2) - 4 * (x - 8) >= -1e-9 AND -4 * (z - 6) + 5 * (x - 6) >= -1e-9")
+@query("r08_polygon_cells", f", {T.GRID} SELECT i, j FROM (SELECT i, j, (i + 0.5::DOUBLE) * 0.1::DOUBLE AS x, (j + 0.5::DOUBLE) * 0.1::DOUBLE AS z FROM grid) WHERE 6 * (z - 1) - 1 * (x - 2) >= -1e-9 AND -2 * (z - 2) - 4 * (x - 8) >= -1e-9 AND -4 * (z - 6) + 5 * (x - 6) >= -1e-9", "points")
 def r08(s, d):
-    return C.grid(s, W, H).where(C.in_polygon(grid.cell_centre(c("i"), 0.0, 0.1), grid.cell_centre(c("j"), 0.0, 0.1), POLYGON))
+    return C.grid(s, *T.extent(s, d)).where(C.in_polygon(grid.cell_centre(c("i"), 0.0, 0.1), grid.cell_centre(c("j"), 0.0, 0.1), POLYGON))
 
 
 @query("r10_boundary_sides", f", {_CELLS} SELECT c.i, c.j, di, dj FROM cells c, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) t(di, dj) WHERE NOT EXISTS (SELECT 1 FROM cells n WHERE n.i = c.i + di AND n.j = c.j + dj)", "points")

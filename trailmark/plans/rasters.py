@@ -13,24 +13,19 @@ from ..sources.shared import new_folder
 from . import carriers as T
 from .registry import c, query, r
 
-W, H = 200, 100  # cells of 0.1 m over x 0..20, z 0..10
 ROI = [(2.0, 1.0), (18.0, 1.0), (18.0, 9.0), (2.0, 9.0)]
 
 _CELLS = "cells AS (SELECT DISTINCT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j FROM points WHERE y < -2.4)"
-_GRID = f"grid AS (SELECT i, j FROM range(0, {W}) a(i), range(0, {H}) b(j)), inside AS (SELECT * FROM cells WHERE i BETWEEN 0 AND {W - 1} AND j BETWEEN 0 AND {H - 1})"
+_GRID = T.GRID
 
 
 def obstacles(s, d):
     return T.points(s, d).where("y < -2.4").select(grid.cell(c("x"), 0.0, 0.1).alias("i"), grid.cell(c("z"), 0.0, 0.1).alias("j")).distinct()
 
 
-def inside(s, d):
-    return obstacles(s, d).where(grid.in_grid(c("i"), c("j"), W, H))
-
-
-def region(s):
+def region(s, d):
     x, z = grid.cell_centre(c("i"), 0.0, 0.1), grid.cell_centre(c("j"), 0.0, 0.1)
-    return C.grid(s, W, H).where(C.in_polygon(x, z, ROI))
+    return C.grid(s, *T.extent(s, d)).where(C.in_polygon(x, z, ROI))
 
 
 @query("f01_rectangle", "SELECT l_orderkey, round(x, 6) AS x, round(z, 6) AS z FROM points WHERE x BETWEEN 2 AND 8 AND z BETWEEN 1 AND 5", "points")
@@ -54,18 +49,18 @@ def s02(s, d):
     return T.points(s, d).agg(F.count("*").alias("n"), r(F.sum("x"), 2).alias("x"), r(F.sum("z"), 2).alias("z"))
 
 
-@query("j02_fine_cells", f", {_CELLS}, {_GRID} SELECT CAST(fi AS BIGINT) AS i, CAST(fj AS BIGINT) AS j FROM range(0, {W * 5 // 2}) a(fi), range(0, {H * 5 // 2}) b(fj), inside WHERE (2 * fi + 1) * 40 // 200 = inside.i AND (2 * fj + 1) * 40 // 200 = inside.j", "points")
+@query("j02_fine_cells", f", {_CELLS} SELECT fi AS i, fj AS j FROM (SELECT i, j, i * 5 // 2 - 1 + a AS fi, j * 5 // 2 - 1 + b AS fj FROM cells, range(0, 6) t(a), range(0, 6) u(b)) WHERE fi >= 0 AND fj >= 0 AND (2 * fi + 1) * 40 // 200 = i AND (2 * fj + 1) * 40 // 200 = j", "points")
 def j02(s, d):
-    return C.resampled(inside(s, d), 100, 40)
+    return C.resampled(obstacles(s, d), 100, 40)
 
 
-@query("j03_path_collisions", f", {_CELLS} SELECT ep, bool_or(cells.i IS NOT NULL OR p.i < 0 OR p.i >= {W} OR p.j < 0 OR p.j >= {H}) AS collides FROM (SELECT ep, CAST(floor(x / 2.5) AS BIGINT) AS i, CAST(floor(z) AS BIGINT) AS j FROM frames) p LEFT JOIN cells USING (i, j) GROUP BY 1", "points", "frames")
+@query("j03_path_collisions", f", {_CELLS}, {_GRID} SELECT ep, bool_or(cells.i IS NOT NULL OR p.i < 0 OR p.i >= w OR p.j < 0 OR p.j >= h) AS collides FROM spec, (SELECT ep, CAST(floor(x / 2.5) AS BIGINT) AS i, CAST(floor(z) AS BIGINT) AS j FROM frames) p LEFT JOIN cells USING (i, j) GROUP BY 1", "points", "frames")
 def j03(s, d):
     path = T.frames(s, d).select("ep", grid.cell(c("x"), 0.0, 2.5).alias("i"), grid.cell(c("z"), 0.0, 1.0).alias("j"))
-    return C.collisions(path, obstacles(s, d), W, H)
+    return C.collisions(path, obstacles(s, d), *T.extent(s, d))
 
 
-@query("j10_nearest_occupied", "SELECT a.id, round(sqrt(min((a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z))), 6) AS metres FROM splats a, splats b WHERE a.id % 2 = 0 AND b.id % 2 = 1 AND (a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z) <= 0.0625 GROUP BY 1", "splats")
+@query("j10_nearest_occupied", "SELECT a.id, round(sqrt(min((a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z))), 6) AS metres FROM splats a, splats b WHERE a.id % 2 = 0 AND b.id % 2 = 1 GROUP BY 1", "splats")
 def j10(s, d):
     g = T.splats(s, d).where("abs(x) < double('inf') and abs(z) < double('inf')")  # other points are near none
     left, right = g.where("id % 2 = 0"), g.where("id % 2 = 1")
@@ -114,13 +109,13 @@ def a28(s, d):
     return T.points(s, d).select(r(c("z"), 1).alias("z"), r(c("y"), 1).alias("y")).distinct()
 
 
-@query("t09_nearest_free", f""", {_CELLS}, {_GRID}, free AS (SELECT * FROM grid ANTI JOIN inside USING (i, j)),
-n AS (SELECT q.i AS qi, q.j AS qj, f.i, f.j, greatest(abs(f.i - q.i), abs(f.j - q.j)) AS ring, (f.i - q.i) * (f.i - q.i) + (f.j - q.j) * (f.j - q.j) AS d2 FROM inside q JOIN free f ON f.i - q.i BETWEEN -4 AND 4 AND f.j - q.j BETWEEN -4 AND 4),
-o AS (SELECT *, CASE WHEN j = greatest(0, qj - ring) THEN 0 WHEN j = least({H - 1}, qj + ring) THEN 1 WHEN i = greatest(0, qi - ring) THEN 2 ELSE 3 END AS side FROM n)
-SELECT qi * 1000 + qj AS id, i, j FROM o QUALIFY row_number() OVER (PARTITION BY qi, qj ORDER BY ring, d2, side, CASE WHEN side < 2 THEN i ELSE j END) = 1""", "points")
+@query("t09_nearest_free", f""", {_CELLS}, {_GRID}, free AS (SELECT * FROM grid ANTI JOIN cells USING (i, j)),
+reach AS (SELECT q.i AS qi, q.j AS qj, q.i + a AS i, q.j + b AS j, greatest(abs(a), abs(b)) AS ring, a * a + b * b AS d2 FROM cells q, range(-12, 13) t(a), range(-12, 13) u(b)),
+o AS (SELECT reach.*, CASE WHEN j = greatest(0, qj - ring) THEN 0 WHEN j = least(h - 1, qj + ring) THEN 1 WHEN i = greatest(0, qi - ring) THEN 2 ELSE 3 END AS side FROM reach JOIN free USING (i, j), spec)
+SELECT qi * 4294967296 + qj AS id, i, j FROM o QUALIFY row_number() OVER (PARTITION BY qi, qj ORDER BY ring, d2, side, CASE WHEN side < 2 THEN i ELSE j END) = 1""", "points")
 def t09(s, d):
-    solid = inside(s, d)
-    return C.nearest_free(solid.select((c("i") * 1000 + c("j")).alias("id"), "i", "j"), C.complement(solid, W, H), 4, W, H)
+    solid, (w, h) = obstacles(s, d), T.extent(s, d)
+    return C.nearest_free(solid.select((c("i") * F.lit(1 << 32) + c("j")).alias("id"), "i", "j"), C.complement(solid, w, h), 4, w, h)
 
 
 @query("u01_cloud_union", "SELECT 'obstacle' AS kind, count(*) AS n FROM points WHERE y < -2.0 UNION ALL SELECT 'context', count(*) FROM points WHERE NOT y < -2.0", "points")
@@ -130,23 +125,22 @@ def u01(s, d):
     return part("obstacle", c("y") < -2.0).unionByName(part("context", ~(c("y") < -2.0))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-_GROUND = f"ground AS (SELECT DISTINCT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j FROM points WHERE y > -1.2 AND floor(x / 0.1::DOUBLE) BETWEEN 0 AND {W - 1} AND floor(z / 0.1::DOUBLE) BETWEEN 0 AND {H - 1})"
-_WIDE = "wide AS (SELECT DISTINCT g.i, g.j FROM grid g JOIN inside c ON g.i - c.i BETWEEN -1 AND 1 AND g.j - c.j BETWEEN -1 AND 1)"
+_GROUND = "ground AS (SELECT DISTINCT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j FROM points WHERE y > -1.2)"
+_WIDE = "wide AS (SELECT DISTINCT c.i + di AS i, c.j + dj AS j FROM cells c, range(-1, 2) a(di), range(-1, 2) b(dj), spec WHERE c.i + di BETWEEN 0 AND w - 1 AND c.j + dj BETWEEN 0 AND h - 1)"
 
 
 def ground(s, d):
-    cells = T.points(s, d).where("y > -1.2").select(grid.cell(c("x"), 0.0, 0.1).alias("i"), grid.cell(c("z"), 0.0, 0.1).alias("j")).distinct()
-    return cells.where(grid.in_grid(c("i"), c("j"), W, H))
+    return T.points(s, d).where("y > -1.2").select(grid.cell(c("x"), 0.0, 0.1).alias("i"), grid.cell(c("z"), 0.0, 0.1).alias("j")).distinct()
 
 
 def free_cells(s, d):
     """Ground cells that no inflated obstacle blocks."""
-    return ground(s, d).join(C.dilate(inside(s, d), 1, W, H), ["i", "j"], "left_anti")
+    return ground(s, d).join(C.dilate(obstacles(s, d), 1, *T.extent(s, d)), ["i", "j"], "left_anti")
 
 
-@query("u07_mask_algebra", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE} SELECT i, j FROM grid WHERE (i, j) IN (SELECT (i, j) FROM wide) OR (i, j) NOT IN (SELECT (i, j) FROM ground)", "points")
+@query("u07_mask_algebra", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE} SELECT i, j FROM wide UNION SELECT i, j FROM grid ANTI JOIN ground USING (i, j)", "points")
 def u07(s, d):
-    return C.grid(s, W, H).join(free_cells(s, d), ["i", "j"], "left_anti")
+    return C.grid(s, *T.extent(s, d)).join(free_cells(s, d), ["i", "j"], "left_anti")
 
 
 @query("r01_threshold_mask", "SELECT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j FROM points GROUP BY ALL HAVING count(*) >= 3", "points")
@@ -155,12 +149,12 @@ def r01(s, d):
 
 
 _DISC = "disc AS (SELECT dx, dy FROM range(-3, 4) a(dx), range(-3, 4) b(dy) WHERE abs(dx) <= round_even(3 * sqrt(1 - dy * dy / 9.0::DOUBLE), 0))"
-_ROI = f"roi AS (SELECT i, j FROM grid WHERE (i + 0.5) * 0.1 BETWEEN 2 AND 18 AND (j + 0.5) * 0.1 BETWEEN 1 AND 9), lost AS (SELECT DISTINCT g.i + dx AS i, g.j + dy AS j FROM (SELECT * FROM grid ANTI JOIN roi USING (i, j)) g, disc)"
+_ROI = "roi AS (SELECT i, j FROM grid WHERE (i + 0.5) * 0.1 BETWEEN 2 AND 18 AND (j + 0.5) * 0.1 BETWEEN 1 AND 9), lost AS (SELECT DISTINCT g.i + dx AS i, g.j + dy AS j FROM (SELECT * FROM grid ANTI JOIN roi USING (i, j)) g, disc)"
 
 
 @query("r04_eroded_region", f", {_CELLS}, {_GRID}, {_DISC}, {_ROI} SELECT i, j FROM roi ANTI JOIN lost USING (i, j)", "points")
 def r04(s, d):
-    return C.erode_disc(region(s), 3, W, H)
+    return C.erode_disc(region(s, d), 3, *T.extent(s, d))
 
 
 _REACH = ", reach(i, j, label) AS (SELECT i, j, i * 2147483648 + j FROM cells UNION SELECT c.i, c.j, least(r.label, c.i * 2147483648 + c.j) FROM reach r JOIN cells c ON c.i - r.i BETWEEN -1 AND 1 AND c.j - r.j BETWEEN -1 AND 1), labelled AS (SELECT i, j, min(label) AS label FROM reach GROUP BY 1, 2)"
@@ -182,15 +176,15 @@ def r06(s, d):
 
 @query("r09_sampling_cells", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE}, {_DISC}, {_ROI} SELECT i, j FROM ground ANTI JOIN wide USING (i, j) SEMI JOIN roi USING (i, j) ANTI JOIN lost USING (i, j)", "points")
 def r09(s, d):
-    return free_cells(s, d).join(C.erode_disc(region(s), 3, W, H), ["i", "j"], "left_semi")
+    return free_cells(s, d).join(C.erode_disc(region(s, d), 3, *T.extent(s, d)), ["i", "j"], "left_semi")
 
 
 def segments(s, d):
-    part = T.table(s, d, "part")
-    return part.select(c("p_partkey").alias("id"), (c("p_partkey") * 37 % W).alias("i0"), (c("p_partkey") * 53 % H).alias("j0"), (c("p_partkey") * 91 % W).alias("i1"), (c("p_size") * 2 % H).cast("bigint").alias("j1"))
+    part, (w, h) = T.table(s, d, "part"), T.extent(s, d)
+    return part.select(c("p_partkey").alias("id"), (c("p_partkey") * 37 % w).alias("i0"), (c("p_partkey") * 53 % h).alias("j0"), (c("p_partkey") * 91 % w).alias("i1"), (c("p_size") * 2 % h).cast("bigint").alias("j1"))
 
 
-@query("r11_line_of_sight", f", {_CELLS}, seg AS (SELECT p_partkey AS id, p_partkey * 37 % {W} AS i0, p_partkey * 53 % {H} AS j0, p_partkey * 91 % {W} AS i1, p_size * 2 % {H} AS j1 FROM part), n AS (SELECT *, abs(i1 - i0) AS dx, abs(j1 - j0) AS dz, greatest(abs(i1 - i0), abs(j1 - j0)) AS n FROM seg), l AS (SELECT id, i0 + sign(i1 - i0) * CASE WHEN n = 0 THEN 0 ELSE (2 * dx * k + n - 1) // (2 * n) END AS i, j0 + sign(j1 - j0) * CASE WHEN n = 0 THEN 0 ELSE (2 * dz * k + n - 1) // (2 * n) END AS j FROM (SELECT *, unnest(range(0, n + 1)) AS k FROM n)) SELECT id, bool_and(cells.i IS NULL) AS free FROM l LEFT JOIN cells ON cells.i = l.i AND cells.j = l.j GROUP BY 1", "points")
+@query("r11_line_of_sight", f", {_CELLS}, {_GRID}, seg AS (SELECT p_partkey AS id, p_partkey * 37 % w AS i0, p_partkey * 53 % h AS j0, p_partkey * 91 % w AS i1, p_size * 2 % h AS j1 FROM part, spec), n AS (SELECT *, abs(i1 - i0) AS dx, abs(j1 - j0) AS dz, greatest(abs(i1 - i0), abs(j1 - j0)) AS n FROM seg), l AS (SELECT id, i0 + sign(i1 - i0) * CASE WHEN n = 0 THEN 0 ELSE (2 * dx * k + n - 1) // (2 * n) END AS i, j0 + sign(j1 - j0) * CASE WHEN n = 0 THEN 0 ELSE (2 * dz * k + n - 1) // (2 * n) END AS j FROM (SELECT *, unnest(range(0, n + 1)) AS k FROM n)) SELECT id, bool_and(cells.i IS NULL) AS free FROM l LEFT JOIN cells ON cells.i = l.i AND cells.j = l.j GROUP BY 1", "points")
 def r11(s, d):
     return C.lines_free(segments(s, d), obstacles(s, d)).select("id", "free")
 
@@ -198,11 +192,11 @@ def r11(s, d):
 @query("r12_least_cost_routes", None)
 def r12(s, d):
     """Routes between the segments' ends."""
-    solid = inside(s, d)
-    near = np.full((H, W), 0.5)
-    for row in C.nearest_distance(C.grid(s, W, H), solid, 5, 0.1).toLocalIterator():
+    solid, (w, h) = obstacles(s, d), T.extent(s, d)
+    near = np.full((h, w), 0.5)
+    for row in C.nearest_distance(C.grid(s, w, h), solid, 5, 0.1).toLocalIterator():
         near[row["j"], row["i"]] = row["distance_m"]
-    found = search.routes(segments(s, d), search.grid_map(solid, W, H), search.clearance_penalty(near, 0.1))
+    found = search.routes(segments(s, d), search.grid_map(solid, w, h), search.clearance_penalty(near, 0.1))
     return found.select("id", r(c("cost")).alias("cost"), F.size("cells").cast("bigint").alias("n"))
 
 
@@ -213,10 +207,10 @@ def k12(s, d):
     return n.crossJoin(F.broadcast(high)).select("i", "j", numeric.stretch(c("n"), c("hi")).cast("int").alias("shade"))
 
 
-@query("m01_scene_layers", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE} SELECT (SELECT count(*) FROM inside) AS obstacle, (SELECT count(*) FROM wide) AS inflated, (SELECT count(*) FROM ground) AS ground, (SELECT count(*) FROM ground ANTI JOIN wide USING (i, j)) AS free", "points")
+@query("m01_scene_layers", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE} SELECT (SELECT count(*) FROM cells) AS obstacle, (SELECT count(*) FROM wide) AS inflated, (SELECT count(*) FROM ground) AS ground, (SELECT count(*) FROM ground ANTI JOIN wide USING (i, j)) AS free", "points")
 def m01(s, d):
-    solid = inside(s, d)
-    layers = {"obstacle": solid, "inflated": C.dilate(solid, 1, W, H), "ground": ground(s, d), "free": free_cells(s, d)}
+    solid = obstacles(s, d)
+    layers = {"obstacle": solid, "inflated": C.dilate(solid, 1, *T.extent(s, d)), "ground": ground(s, d), "free": free_cells(s, d)}
     out = None
     for name, layer in layers.items():
         one = layer.agg(F.count("*").alias(name))
