@@ -11,7 +11,7 @@ sub-table at a time, until no cell is left; it gives them with their copies, neg
 Where cells are left, both are sketched again in a larger size with other hashes.
 
 Rows meet their neighbour by a window over ranges of identifiers; each range also gets the first row of the next range.
-Digests and cells are written as tables bucketed by range, of a few megabytes of text each, so that sums and peeling need no shuffle, and neither do retries.
+Digests and cells are written as tables bucketed by a row's number, of some megabytes of text each, so that sums, peeling, joins and retries need no shuffle.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import stage
 
-PARAGRAPH, ROWS_PER_RANGE, SIDE, BUCKET_BYTES = 64, 250, 256, 4 << 20
+PARAGRAPH, ROWS_PER_RANGE, SIDE, BUCKET_BYTES = 120, 1000, 256, 6 << 20
 #: Cells of a sub-table for each paragraph of a text, and for each digest that two texts are thought to differ in.
 OWN, DIFFERING = 0.5, 0.8
 #: By attempt: times the cells, and peeled sub-tables.
@@ -96,24 +96,24 @@ def _sketch(items: DataFrame, keys: list[str], seed: int) -> DataFrame:
 
 
 def sketches(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Per (range, rn) with any digest: the sketch of each array named in its own size, as text, null if it is empty.
+    """Per id with any digest: the sketch of each array named in its own size, as text, null if it is empty.
 
     Cells of a sub-table, then each cell that holds something: its number, count, sum and check sum in hexadecimal.
     """
-    keys = ["range", "rn", "side", "m"]
-    items = table.select("range", "rn", F.posexplode(F.array(*columns)).alias("side", "own"))
-    items = items.select("range", "rn", "side", F.expr(_power(f"{OWN} * size(own)")).alias("m"), F.explode("own").alias("key"))
+    keys = ["id", "side", "m"]
+    items = table.select("id", F.posexplode(F.array(*columns)).alias("side", "own"))
+    items = items.select("id", "side", F.expr(_power(f"{OWN} * size(own)")).alias("m"), F.explode("own").alias("key"))
     cells = _sketch(items.withColumn("key", F.col("key").cast("long")), keys, 0)
     text = "struct(cell, m, concat_ws('.', hex(cell), hex(c), hex(k), hex(q)) as t)"
     lists = [F.array_sort(F.collect_list(F.expr(f"if(side = {n}, {text}, null)"))).alias(f"s{n}") for n in range(len(columns))]
     whole = [F.expr(f"if(size(s{n}) > 0, concat(hex(s{n}[0].m), ':', array_join(transform(s{n}, x -> x.t), '-')), null) as s{n}") for n in range(len(columns))]
-    return cells.groupBy("range", "rn").agg(*lists).select("range", "rn", *whole)
+    return cells.groupBy("id").agg(*lists).select("id", *whole)
 
 
 #: A digest that was taken is kept as a cell below 0.
 _TAKEN = "(-1 - own - 2147483648)"
 _DIGEST = "cast(-1 - cell - 2147483648 as int)"
-_KEYS = ["range", "rn", "pair", "m"]
+_KEYS = ["id", "pair", "m"]
 
 
 def _estimate(a: str, b: str) -> str:
@@ -124,16 +124,16 @@ def _estimate(a: str, b: str) -> str:
 
 
 def _subtracted(table: DataFrame, left: str, right: list[str], times: int, seed: int) -> DataFrame:
-    """Per (range, rn, pair): the cells of the sketch of left minus that of each array of right, without those that hold nothing."""
+    """Per (id, pair): the cells of the sketch of left minus that of each array of right, without those that hold nothing."""
     own = ", ".join(f"{OWN} * size({x})" for x in (left, *right))
     differing = ", ".join(f"{DIFFERING} * ({_estimate(left, x)})" for x in right)
     sized = table.withColumn("m", F.expr(f"{times} * {_power(f'greatest({own}, {differing})')}"))
-    items = sized.select("range", "rn", "m", "wanted", F.posexplode(F.array(left, *right)).alias("side", "own")).where("side = 0 or wanted is null or array_contains(wanted, side - 1)")
-    items = items.select("range", "rn", "m", "wanted", "side", F.explode("own").alias("key")).withColumn("key", F.col("key").cast("long"))
-    cells = _sketch(items, ["range", "rn", "m", "wanted", "side"], seed)
+    items = sized.select("id", "m", "wanted", F.posexplode(F.array(left, *right)).alias("side", "own")).where("side = 0 or wanted is null or array_contains(wanted, side - 1)")
+    items = items.select("id", "m", "wanted", "side", F.explode("own").alias("key")).withColumn("key", F.col("key").cast("long"))
+    cells = _sketch(items, ["id", "m", "wanted", "side"], seed)
     pairs = f"if(side = 0, transform(filter(sequence(0, {len(right) - 1}), p -> wanted is null or array_contains(wanted, p)), p -> struct(p as pair, 1 as sign)), array(struct(side - 1 as pair, -1 as sign)))"
-    cells = cells.select("range", "rn", "m", "cell", "c", "k", "q", F.explode(F.expr(pairs)).alias("p"))
-    return _summed(cells.select("range", "rn", "p.pair", "m", "cell", *[(F.col(x) * F.col("p.sign")).alias(x) for x in "ckq"]))
+    cells = cells.select("id", "m", "cell", "c", "k", "q", F.explode(F.expr(pairs)).alias("p"))
+    return _summed(cells.select("id", "p.pair", "m", "cell", *[(F.col(x) * F.col("p.sign")).alias(x) for x in "ckq"]))
 
 
 def _summed(cells: DataFrame) -> DataFrame:
@@ -153,11 +153,11 @@ def _peeled(cells: DataFrame, first: int, rounds: int, seed: int) -> DataFrame:
 
 
 def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    """df written to the shared folder in buckets by range, and read back; its name in the catalogue is gone at once."""
+    """df written to the shared folder in buckets by id, and read back; its name in the catalogue is gone at once."""
     spark = df.sparkSession
     name = f"trailmark_{uuid.uuid4().hex}"
     path = stage.new_path(spark, "buckets")
-    df.write.bucketBy(buckets, "range").option("path", path).option("compression", "zstd").saveAsTable(name)
+    df.write.bucketBy(buckets, "id").option("path", path).option("compression", "zstd").saveAsTable(name)
     out = spark.table(name)
     out.schema  # resolved while the name is there
     spark.sql(f"DROP TABLE {name}")
@@ -167,7 +167,7 @@ def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def differences(table: DataFrame, left: str, right: list[str], buckets: int) -> list[DataFrame]:
-    """For rows of a table bucketed by range (range, rn, arrays of digests) and each array named in right, by attempt: range, rn, pair (its place), found.
+    """For rows of a table bucketed by id (id, arrays of digests) and each array named in right, by attempt: id, pair (its place), found.
 
     found has the digests of which one of the two has more, in order, and how many more: above 0 for left, below for right;
     pairs without any are left out.  Pairs that no size could peel are an error: that takes different digests with the same places in five sizes.
@@ -185,13 +185,13 @@ def differences(table: DataFrame, left: str, right: list[str], buckets: int) ->
             done += STEPS
             if not cells.where("cell >= 0").limit(1).count():
                 break
-        stuck = cells.where("cell >= 0").select("range", "rn", "pair").distinct()
-        got = cells.groupBy("range", "rn", "pair").agg(found.alias("found"), F.count_if(F.col("cell") >= 0).alias("stuck")).where("stuck = 0").drop("stuck")
+        stuck = cells.where("cell >= 0").select("id", "pair").distinct()
+        got = cells.groupBy("id", "pair").agg(found.alias("found"), F.count_if(F.col("cell") >= 0).alias("stuck")).where("stuck = 0").drop("stuck")
         out.append(got)
-        stuck = _bucketed(stuck.groupBy("range", "rn").agg(F.array_sort(F.collect_list("pair")).alias("wanted")), buckets)
+        stuck = _bucketed(stuck.groupBy("id").agg(F.array_sort(F.collect_list("pair")).alias("wanted")), buckets)
         if not stuck.limit(1).count():
             return out
-        todo = table.join(stuck, ["range", "rn"])
+        todo = table.join(stuck, "id")
     raise ValueError(f"sketches of {spark.createDataFrame(stuck.limit(1).collect(), stuck.schema).first()} can't be peeled")
 
 
@@ -213,15 +213,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, min(20_000, math.ceil(size / BUCKET_BYTES)))
-    rows = with_next(rows).withColumn("n_chars", F.char_length("text").cast("long"))
+    rows = with_next(rows).withColumn("id", F.expr("shiftleft(cast(range as bigint), 32) + rn")).withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 as int)), substring(next_text, 1, cast(n_chars div 3 as int)))"))
-    made = rows.select("range", "rn", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("b"))
-    table = _bucketed(made, buckets)
+    made = rows.select("id", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("b"))
+    table = _bucketed(made.repartition(buckets, "id"), buckets)
     found = None
     for got in differences(table, "a", ["e", "b"], buckets):
-        got = got.groupBy("range", "rn").agg(*[F.first(F.expr(f"if(pair = {n}, found, null)"), ignorenulls=True).alias(f"f{n}") for n in (0, 1)])
-        found = got if found is None else found.join(got.select("range", "rn", *[F.col(f"f{n}").alias(f"g{n}") for n in (0, 1)]), ["range", "rn"], "full").select("range", "rn", *[F.coalesce(f"f{n}", f"g{n}").alias(f"f{n}") for n in (0, 1)])
-    both = table.join(found, ["range", "rn"], "left").join(sketches(table, ["a", "e"]), ["range", "rn"], "left")
+        got = got.groupBy("id").agg(*[F.first(F.expr(f"if(pair = {n}, found, null)"), ignorenulls=True).alias(f"f{n}") for n in (0, 1)])
+        found = got if found is None else found.join(got.select("id", *[F.col(f"f{n}").alias(f"g{n}") for n in (0, 1)]), "id", "full").select("id", *[F.coalesce(f"f{n}", f"g{n}").alias(f"f{n}") for n in (0, 1)])
+    both = table.join(found, "id", "left").join(sketches(table, ["a", "e"]), "id", "left")
     none = F.expr("cast(array() as array<struct<digest: int, copies: int>>)")
     both = both.withColumns({f"d{n}": F.coalesce(f"f{n}", none) for n in (0, 1)} | {f"s{n}": F.coalesce(f"s{n}", F.lit("4:")) for n in (0, 1)})
     d = [f"aggregate(d{n}, 0L, (s, x) -> s + abs(x.copies))" for n in (0, 1)]
