@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmark.llm import bpe_fst, chat_windows, html_extract, iblt, kk_packing, lsm_dedup, minhash_join, pfor_store, pitman_yor, quality_fm, queries, textvec
+from trailmark.llm import bpe_fst, chat_windows, graph, html_extract, iblt, kk_packing, lsm_dedup, minhash_join, pfor_store, pitman_yor, quality_fm, queries, textvec
 from trailmark.llm.chunk_encoder import ByteLevelEncoder, WordEndEncoder
 
 P = pytest.importorskip("public_tokenizers")
@@ -133,6 +133,7 @@ def test_near_in_a_large_cluster(spark, monkeypatch):
     rng.shuffle(rows)
     rows = list(enumerate(rows))
     monkeypatch.setattr(minhash_join, "BLOCK", 64)
+    monkeypatch.setattr(graph, "SMALL", 50)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, minhash_join.near_duplicates(df).collect()))
     assert got == brute_near(rows)

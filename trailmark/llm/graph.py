@@ -48,11 +48,26 @@ def _local(batches):
         yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], names=["u", "v"])
 
 
+#: Edges that one task may connect alone (its memory is some tens of megabytes).
+SMALL = 200_000
+
+
+def _whole(batches):
+    """(node, component) of all edges."""
+    forest = Forest()
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            forest.join(a, b)
+    nodes = list(forest.up)
+    yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array([forest.root(x) for x in nodes], pa.int64())], names=["node", "component"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a bigint, b bigint); component is the smallest node reachable.
 
     Self-loops and repeated edges do no harm; nulls are ignored; no edges give no rows.
-    Each round is one join and two aggregations on narrow rows and is written to the
+    SMALL edges at most, after those inside a batch are stars, are connected by one task.  More take rounds:
+    each is one join and two aggregations on narrow rows and is written to the
     shared folder; hot centres go through map-side minima and a broadcast of
     those with a thousandth of all edges, which are few.
     """
@@ -60,6 +75,8 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns[:2]
     now = written(edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).mapInArrow(frugal(_local), "u long, v long"), "edges")
     state, edges_now = None, now.count()
+    if edges_now <= SMALL:
+        return now.coalesce(1).mapInArrow(frugal(_whole), "node long, component long")
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")

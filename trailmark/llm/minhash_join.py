@@ -33,7 +33,7 @@ POSITIONS, CHUNKS, ERRORS = 64, 16, 1
 WIDTH = POSITIONS // CHUNKS
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
 #: Members of a block, shingles of a cluster's block, and members that all blocks of a group share.
-BLOCK, BLOCK_SHINGLES, HUBS = 256, 1_000_000, 4
+BLOCK, BLOCK_SHINGLES, HUBS = 192, 1_000_000, 4
 _SEEDS = textvec.mix(np.arange(1, 2 * POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR = (_SEEDS[:POSITIONS] & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None]
 _ODD = ((_SEEDS[POSITIONS:] & np.uint64(0xFFFFFFFF)).astype(np.uint32) | np.uint32(1))[:, None]
@@ -157,24 +157,25 @@ def linked(rows: DataFrame, by: str, sizes: DataFrame, payload: DataFrame) -> Da
     rows = written(rows.join(sizes, by).select(by, "rep", "blocks"), "rows")
     large = rows.where("blocks > 1")
     hashes = [F.xxhash64("rep", F.lit(k)) for k in range(HUBS)]
-    hubs = large.groupBy(by).agg(*[F.min(h).alias(f"hub{k}") for k, h in enumerate(hashes)])
+    hubs = written(large.groupBy(by).agg(*[F.min(h).alias(f"hub{k}") for k, h in enumerate(hashes)], F.count("*").alias("members")), "hubs")
+    total = large.count()
     hub = F.lit(False)
     for k, h in enumerate(hashes):
         hub = hub | (h == F.col(f"hub{k}"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = large.join(hubs, by).withColumn("unit", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).otherwise(F.array(own))))
+    dealt = attach(large, hubs, by, "members", total).withColumn("unit", F.explode(F.when(hub, F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).otherwise(F.array(own))))
     names = [by, "unit", F.col("rep").alias("part"), "rep"]
     first = rows.where("blocks = 1").withColumn("unit", F.lit(0)).select(*names).unionByName(dealt.select(*names))
     edges = written(_worked(first, by, payload), "links")
     found = written(components(edges), "parts")
-    if not large.limit(1).count():
+    if not total:
         return found
     # Across blocks: the members of groups that still fall into several parts.
     parts = large.select(by, "rep").join(found.select(F.col("node").alias("rep"), F.col("component").alias("part")), "rep", "left").withColumn("part", F.coalesce("part", "rep"))
     parts = written(parts, "parts-of-large")
     counts = parts.groupBy(by, "part").agg(F.count("*").alias("own"))
     half = BLOCK // 2
-    plan = counts.groupBy(by).agg(F.count("*").alias("parts"), F.sum(F.when(F.col("own") <= half, F.col("own")).otherwise(0)).alias("small"), F.collect_list(F.when(F.col("own") > half, F.struct("part", F.ceil(F.col("own") / half).cast("int").alias("pieces")))).alias("great"))
+    plan = counts.groupBy(by).agg(F.count("*").alias("parts"), F.sum(F.when(F.col("own") <= half, F.col("own")).otherwise(0)).alias("small"), F.collect_list(F.when(F.col("own") > half, F.struct("part", F.ceil(F.col("own") / half).cast("int").alias("pieces")))).alias("great"), F.sum("own").alias("members"))
     plan = written(plan.where("parts > 1"), "plan")
     if not plan.limit(1).count():
         return found
@@ -182,10 +183,10 @@ def linked(rows: DataFrame, by: str, sizes: DataFrame, payload: DataFrame) -> Da
     none = F.lit(None).cast("bigint")
     pooled = F.ceil(F.col("small") / half).cast("int")
     units = F.concat(F.when(pooled > 0, F.transform(F.sequence(F.lit(0), pooled - 1), lambda k: unit(none, k))).otherwise(F.array().cast("array<struct<part: bigint, piece: int>>")), F.flatten(F.transform("great", lambda g: F.transform(F.sequence(F.lit(0), g["pieces"] - 1), lambda k: unit(g["part"], k)))))
-    plan = plan.select(by, pooled.alias("pooled"), "great", units.alias("units"))
+    plan = plan.select(by, "members", pooled.alias("pooled"), "great", units.alias("units"))
     pieces = F.filter("great", lambda g: g["part"] == F.col("part"))
     mine = F.when(F.size(pieces) > 0, unit(F.col("part"), F.pmod(F.xxhash64("rep"), pieces[0]["pieces"]).cast("int"))).otherwise(unit(none, F.pmod(F.xxhash64("part"), F.col("pooled")).cast("int")))
-    placed = parts.join(plan, by).withColumn("mine", mine)
+    placed = attach(parts, plan, by, "members", total).withColumn("mine", mine)
     others = F.filter("units", lambda u: u["part"].isNull() | F.col("mine.part").isNull() | (u["part"] != F.col("mine.part")))
     text = lambda u: F.concat_ws("/", u["part"].cast("string"), u["piece"].cast("string"))
     pairs = placed.select(by, "rep", "part", F.explode(F.transform(others, lambda u: F.concat(F.least(text(u), text(F.col("mine"))), F.lit("|"), F.greatest(text(u), text(F.col("mine")))))).alias("unit"))
