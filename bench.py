@@ -11,7 +11,7 @@ from trailmark.plans.queries import QUERIES
 
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-NAMES = ["p12_matrix_product", "p30_depth_recode", "j01_classify_points", "j09_history_exclusion", "j11_close_endpoints", "a02_grid_counts", "a03_voxel_representative", "a06_floor_level", "a09_displacement_summary", "a11_scene_and_total", "a27_zbuffer", "w01_tangents", "w07_global_offsets", "w11_densify", "r02_dilate", "r07_distance"]
+NAMES = ["p12_matrix_product", "p30_depth_recode", "j01_classify_points", "j09_history_exclusion", "j11_close_endpoints", "a02_grid_counts", "a03_voxel_representative", "a06_floor_level", "a09_displacement_summary", "a11_scene_and_total", "a27_zbuffer", "w01_tangents", "w07_global_offsets", "w11_densify", "r02_dilate", "r07_distance", "j05_positional_zip", "j07_frames_in_ranges"]
 
 
 def main():
