@@ -133,8 +133,8 @@ def geometry_hash(points: DataFrame, group: str = "ep", order: str = "frame") ->
 
 
 def sampled_depths(depths: DataFrame, count: int, seed: int) -> DataFrame:
-    """frame, least, greatest of ``count`` frames drawn without replacement: those with the smallest seeded hash."""
-    frames = depths.select("frame").distinct().orderBy(F.xxhash64(F.lit(seed), "frame"), "frame").limit(count)
+    """frame, least, greatest of ``count`` frames drawn without replacement: those that come first in the seeded order."""
+    frames = seeded_pick(depths.select("frame").distinct(), "frame", count, seed)
     return depths.join(F.broadcast(frames), "frame").groupBy("frame").agg(F.min("metres").alias("least"), F.max("metres").alias("greatest"))
 
 
@@ -171,6 +171,35 @@ def evenly_spaced(rows: DataFrame, order: str, count: int) -> DataFrame:
     return ordinals(rows, order).withColumnRenamed("ordinal", "k").join(F.broadcast(wanted), "k", "left_semi")
 
 
-def seeded_pick(rows: DataFrame, key: str, count: int, seed: int) -> DataFrame:
+def seeded_order(seed: int, key: str) -> Column:
+    """A text to sort by: fixed by the seed and the key's text, so any engine with MD5 draws the same rows."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
+def seeded_pick(rows: DataFrame, key: str, count: int, seed: int, *ties: str) -> DataFrame:
     """``count`` rows without replacement, the same for the same seed however the rows are partitioned."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(count)
+    return rows.orderBy(seeded_order(seed, key), *(ties or (key,))).limit(count)
+
+
+def drawn(text: Column, below: Column) -> Column:
+    """A whole number from 0 to below - 1, fixed by a text."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % below
+
+
+def nested_draws(sizes: DataFrame, group: str, n: str, seed: int) -> DataFrame:
+    """group, start, goal: a start in 0..n - 1, and a goal from it on that depends on the start drawn; no group waits for another."""
+    name = F.concat(F.lit(f"{seed}:"), F.col(group).cast("string"))
+    first = sizes.select(group, n, drawn(name, F.col(n)).alias("start"))
+    again = F.concat(name, F.lit(":"), F.col("start").cast("string"))
+    return first.select(group, "start", (F.col("start") + drawn(again, F.col(n) - F.col("start"))).alias("goal"))
+
+
+def chaikin_rounds(points: DataFrame, rounds: int, group: str = "ep", order: str = "frame") -> DataFrame:
+    """Corner cutting, round after round, with the points numbered anew; lines of two points or fewer stay."""
+    w = Window.partitionBy(group)
+    sized = points.withColumn("__n", F.count("*").over(w))
+    short, out = sized.where("__n <= 2").drop("__n"), sized.where("__n > 2").drop("__n")
+    for _ in range(rounds):
+        out = chaikin(out, group, order)
+    both = out.unionByName(short.select(*out.columns))
+    return both.withColumn(order, (F.row_number().over(ordered(group, order)) - 1).cast("bigint"))

@@ -22,9 +22,11 @@ def p38(s, d):
     return T.table(s, d, "part").groupBy(text.prefix_group(c("p_type"), PREFIXES, "other").alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query("p40_terminated_strings", "SELECT p_partkey, rtrim(p_brand) AS brand FROM part")
+@query("p40_terminated_strings", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN p_name || '  x' WHEN 2 THEN '' ELSE p_brand END AS brand FROM part")
 def p40(s, d):
-    raw = F.concat(c("p_brand"), F.lit(" \0rest\0"))
+    """Ended by a NUL after spaces, with spaces inside, at once, or not at all."""
+    k = c("p_partkey") % 4
+    raw = F.when(k == 0, F.concat("p_brand", F.lit(" \0rest\0"))).when(k == 1, F.concat("p_name", F.lit("  x\0"))).when(k == 2, F.concat(F.lit("\0"), "p_brand")).otherwise(c("p_brand"))
     return T.table(s, d, "part").select("p_partkey", text.terminated(raw).alias("brand"))
 
 
@@ -148,12 +150,12 @@ def t03(s, d):
     return M.at_least_or_best(T.routes(s, d), "length", 40.0).select("id")
 
 
-@query("t04_seeded_pick", None)
+@query("t04_seeded_pick", "SELECT id, length FROM routes ORDER BY md5('7:' || id), id LIMIT 1", "routes")
 def t04(s, d):
     return S.seeded_pick(T.routes(s, d).select("id", "length"), "id", 1, 7)
 
 
-@query("t05_seeded_choice", None)
+@query("t05_seeded_choice", "SELECT id, length FROM routes ORDER BY md5('7:' || id), id LIMIT 50", "routes")
 def t05(s, d):
     return S.seeded_pick(T.routes(s, d).select("id", "length"), "id", 50, 7).orderBy("id")
 
@@ -198,11 +200,13 @@ def u06(s, d):
 _NAMES = "SELECT ep, first, last, last - first + 1 AS n FROM ranges"
 
 
-@query("v04_metadata_checks", f"SELECT q.ep, q.n = f.n AS rows_match, q.last - q.first + 1 = f.n AS range_matches FROM ({_NAMES}) q JOIN (SELECT ep, count(*) AS n FROM frames GROUP BY 1) f USING (ep)", "frames", "ranges")
+@query("v04_metadata_checks", "SELECT user_id AS ep, user_id % 9 <> 4 AS rows_match, user_id % 6 <> 1 AS range_matches FROM events GROUP BY 1", "frames", "ranges")
 def v04(s, d):
-    n = T.frames(s, d).groupBy("ep").agg(F.count("*").alias("n"))
-    size = c("last") - c("first") + 1
-    return T.ranges(s, d).join(n, "ep").select("ep", (size == c("n")).alias("rows_match"), (size == c("n")).alias("range_matches"))
+    """Declared counts and ranges against the frames; the counts of some episodes and the ranges of others are wrong."""
+    n = T.frames(s, d).groupBy("ep").agg(F.count("*").alias("n"), F.max("frame").alias("top"))
+    told = T.ranges(s, d).withColumn("told", c("last") - c("first") + 1 + F.when(c("ep") % 9 == 4, 1).otherwise(0))
+    told = told.withColumn("last", c("last") - F.when(c("ep") % 6 == 1, 1).otherwise(0))
+    return told.join(n, "ep").select("ep", (c("told") == c("n")).alias("rows_match"), (c("last") - c("first") == c("top")).alias("range_matches"))
 
 
 @query("v05_camera_binding", "SELECT o_orderkey AS id, o_custkey IS NOT DISTINCT FROM c_custkey AND o_custkey % 25 IS NOT DISTINCT FROM c_nationkey AS bound FROM orders LEFT JOIN customer ON c_custkey = o_custkey")

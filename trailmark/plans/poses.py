@@ -26,6 +26,12 @@ def ground(s, d, lift: float = 0.0):
     return T.rigid(s, d).withColumn("m", pose.ground_pose(c("x"), c("z"), c("fx"), c("fz"), FLOOR, lift))
 
 
+def damaged(s, d):
+    """ground, with every fiftieth frame's rotation scaled by 1.01."""
+    bad = F.when(c("frame") % 50 == 7, 1.01).otherwise(1.0)
+    return ground(s, d).withColumn("m", F.transform("m", lambda v, k: F.when((k < 12) & (k % 4 != 3), v * bad).otherwise(v)))
+
+
 @query("p02_axes", "SELECT l_orderkey, round(x, 6) + 0.0 AS x, round(-z, 6) + 0.0 AS y, round(y, 6) + 0.0 AS z FROM points", "points")
 def p02(s, d):
     x, y, z = grid.z_up_to_y_down(c("x"), c("y"), c("z"))
@@ -139,11 +145,12 @@ def p35(s, d):
     return S.geometry_hash(T.frames(s, d)).select("ep", "h")
 
 
-@query("p42_viewport", "SELECT count(*) AS n, true AS returns FROM points", "points")
+@query("p42_viewport", "SELECT l_orderkey, round((x - 12) * 37.5, 4) AS u, round((z + 4) * 37.5, 4) AS v, (x - 12) * 37.5 BETWEEN 0 AND 640 AND (z + 4) * 37.5 BETWEEN 0 AND 480 AS shown, round(x, 6) AS x, round(z, 6) AS z FROM points", "points")
 def p42(s, d):
+    """Screen places, whether they are shown, and the way back."""
     u, v = grid.to_screen(c("x"), c("z"), 37.5, 12.0, -4.0)
     x, z = grid.from_screen(u, v, 37.5, 12.0, -4.0)
-    return T.points(s, d).agg(F.count("*").alias("n"), F.bool_and((F.abs(x - c("x")) < 1e-9) & (F.abs(z - c("z")) < 1e-9)).alias("returns"))
+    return T.points(s, d).select("l_orderkey", r(u, 4).alias("u"), r(v, 4).alias("v"), (u.between(0, 640) & v.between(0, 480)).alias("shown"), r(x).alias("x"), r(z).alias("z"))
 
 
 @query("f08_frustum", "SELECT count(*) AS n FROM (SELECT z - 5 AS d, round_even(400 * (x - 10) / (z - 5) + 424, 0) AS u, round_even(400 * y / (z - 5) + 240, 0) AS v FROM points WHERE z > 5) WHERE d BETWEEN 0.1 AND 4 AND u >= 0 AND u < 848 AND v >= 0 AND v < 480", "points")
@@ -175,16 +182,18 @@ def j13(s, d):
     return m.select("ep", "frame", rounded(F.array(c("m")[3], c("m")[7], c("m")[11])).alias("p"))
 
 
-@query("a18_sampled_depth_report", None)
+@query("a18_sampled_depth_report", ", f AS (FROM (SELECT DISTINCT frame FROM depths) ORDER BY md5('0:' || frame), frame LIMIT 16) SELECT frame, min(metres) AS least, max(metres) AS greatest FROM depths SEMI JOIN f USING (frame) GROUP BY 1", "depths")
 def a18(s, d):
     return S.sampled_depths(T.depths(s, d), 16, 0)
 
 
-@query("a19_contract_error", "SELECT count(*) AS n, round(0.0::DOUBLE, 6) AS inverse_error, round(0.0::DOUBLE, 6) AS orthonormal_error FROM rigid", "frames", "rigid")
+@query("a19_contract_error", ", f AS (SELECT CASE WHEN frame % 50 = 7 THEN 1.01::DOUBLE * 1.01::DOUBLE - 1 ELSE 0 END AS e, greatest(1, abs(x), abs(z), 2.0) AS t FROM rigid) SELECT count(*) AS n, round(max(e * t), 6) AS inverse_error, round(max(e), 6) AS orthonormal_error, count(*) FILTER (e > 1e-6) AS bad FROM f", "frames", "rigid")
 def a19(s, d):
+    """Errors of M * inverse - I and R'R - I; some rotations are scaled first."""
     one = F.array(*[F.lit(1.0 if i % 5 == 0 else 0.0) for i in range(16)])
     off = F.array_max(F.zip_with(pose.matmul(c("m"), pose.rigid_inverse(c("m"))), one, lambda x, y: F.abs(x - y)))
-    return ground(s, d).agg(F.count("*").alias("n"), r(F.max(off)).alias("inverse_error"), r(F.max(pose.orthonormal_error(c("m")))).alias("orthonormal_error"))
+    error = pose.orthonormal_error(c("m"))
+    return damaged(s, d).agg(F.count("*").alias("n"), r(F.max(off)).alias("inverse_error"), r(F.max(error)).alias("orthonormal_error"), F.count_if(error > 1e-6).alias("bad"))
 
 
 @query("a20_all_finite", "SELECT label, bool_and(list_bool_and(list_transform(embedding, lambda v: isfinite(v)))) AS finite FROM embeddings GROUP BY 1")
@@ -233,11 +242,15 @@ def w14(s, d):
     return steps.select("vec_id", "k", r(c("p") + (c("q") - c("p")) * c("k") / 10.0, 9).alias("q"))
 
 
-@query("v01_camera_contract", "SELECT ep, count(*) AS n, true AS rigid, bool_and(isfinite(x) AND isfinite(z)) AS finite FROM rigid GROUP BY 1", "frames", "rigid")
+@query("v01_camera_contract", "SELECT ep, count(*) AS n, bool_and(frame % 50 <> 7) AS rigid, bool_and(isfinite(x) AND event_id % 211 <> 5) AS finite FROM (SELECT *, user_id AS u FROM rigid JOIN (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events) e ON e.user_id = ep AND e.k = frame) GROUP BY 1", "frames", "rigid")
 def v01(s, d):
-    m = c("m")
+    """Scaled rotations and places that are no numbers are found."""
+    marks = T.frames(s, d).select("ep", "frame", "event_id")
+    lost = F.when(c("event_id") % 211 == 5, F.lit(float("nan"))).otherwise(c("m")[3])
+    m = F.col("m")
+    holed = damaged(s, d).join(marks, ["ep", "frame"]).withColumn("m", F.concat(F.slice("m", 1, 3), F.array(lost), F.slice("m", 5, 12)))
     rigid = (pose.orthonormal_error(m) <= 1e-6) & (F.abs(pose.determinant3(m) - 1) <= 1e-6)
-    return ground(s, d).groupBy("ep").agg(F.count("*").alias("n"), F.bool_and(rigid).alias("rigid"), F.bool_and(F.forall(m, grid.finite)).alias("finite"))
+    return holed.groupBy("ep").agg(F.count("*").alias("n"), F.bool_and(rigid).alias("rigid"), F.bool_and(F.forall(m, grid.finite)).alias("finite"))
 
 
 @query("m05_path_to_cameras", f", f AS (SELECT *, CASE WHEN x = lag(x) OVER w AND z = lag(z) OVER w THEN 0 ELSE 1 END AS fresh FROM frames WINDOW w AS (PARTITION BY ep ORDER BY frame)), g AS (SELECT *, sum(fresh) OVER (PARTITION BY ep ORDER BY frame) AS run FROM f), h AS (SELECT ep, run, coalesce(lead(x) OVER v, x) - coalesce(lag(x) OVER v, x) AS dx, coalesce(lead(z) OVER v, z) - coalesce(lag(z) OVER v, z) AS dz FROM g WHERE fresh = 1 WINDOW v AS (PARTITION BY ep ORDER BY run)), t AS (SELECT ep, frame, x, z, dx / sqrt(dx * dx + dz * dz) AS fx, dz / sqrt(dx * dx + dz * dz) AS fz FROM g JOIN h USING (ep, run) WHERE dx * dx + dz * dz > 0) SELECT ep, frame, {_list('fz', '0', 'fx', 'x + 0.3 * fx', '0', '1', '0', '2.0 - 0.53 - 0.12', '-fx', '0', 'fz', 'z + 0.3 * fz', '0', '0', '0', '1')} AS m FROM t", "frames")

@@ -373,12 +373,15 @@ def s15(s, d):
     return T.table(s, d, "events").groupBy("event_type").agg(F.count(F.get_json_object("props", "$.k")).alias("with_k"), F.count("*").alias("n"))
 
 
-@query("s18_polygon_area", "SELECT round(abs((2.0 * 2.0 - 8.0 * 1.0) + (8.0 * 6.0 - 6.0 * 2.0) + (6.0 * 1.0 - 2.0 * 6.0)) / 2.0::DOUBLE, 6) AS area")
+@query("s18_polygon_area", "SELECT s_suppkey AS id, round(abs((2.0 * 2.0 - k * 1.0) + (k * 6.0 - 6.0 * 2.0) + (6.0 * 1.0 - 2.0 * 6.0)) / 2.0::DOUBLE, 6) AS area FROM (SELECT s_suppkey, (s_suppkey % 13)::DOUBLE AS k FROM supplier)")
 def s18(s, d):
-    v = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("z")) for a, b in POLYGON])
-    nxt = F.concat(F.slice(v, 2, len(POLYGON) - 1), F.slice(v, 1, 1))
+    """Areas of three-cornered regions, one for each supplier."""
+    k = (c("s_suppkey") % 13).cast("double")
+    corner = lambda x, z: F.struct(x.alias("x"), F.lit(z).alias("z"))
+    v = F.array(corner(F.lit(2.0), 1.0), corner(k, 2.0), corner(F.lit(6.0), 6.0))
+    nxt = F.concat(F.slice(v, 2, 2), F.slice(v, 1, 1))
     twice = F.aggregate(F.zip_with(v, nxt, lambda p, q: p["x"] * q["z"] - q["x"] * p["z"]), F.lit(0.0), lambda a, b: a + b)
-    return s.range(1).select(r(F.abs(twice) / 2).alias("area"))
+    return T.table(s, d, "supplier").select(c("s_suppkey").alias("id"), r(F.abs(twice) / 2).alias("area"))
 
 
 POLYGON = [(2.0, 1.0), (8.0, 2.0), (6.0, 6.0)]
@@ -469,4 +472,4 @@ def v10(s, d):
     return T.table(s, d, "embeddings").select("vec_id", ok.alias("valid"))
 
 
-from . import manifests, poses, rasters  # noqa: E402,F401  they add theirs
+from . import artifacts, manifests, poses, rasters  # noqa: E402,F401  they add theirs
