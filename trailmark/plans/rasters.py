@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import grid, numeric
 from ..operators import cells as C
 from ..operators import matching as M
-from ..operators import search
+from ..operators import planner, search
 from ..sources.shared import new_folder
 from . import carriers as T
 from .registry import c, query, r
@@ -189,14 +189,20 @@ def r11(s, d):
     return C.lines_free(segments(s, d), obstacles(s, d)).select("id", "free")
 
 
-@query("r12_least_cost_routes", None)
-def r12(s, d):
-    """Routes between the segments' ends."""
+def clearance(s, d):
+    """Blocked cells, and metres from each cell to the nearest of them, as arrays."""
     solid, (w, h) = obstacles(s, d), T.extent(s, d)
-    near = np.full((h, w), 0.5)
+    blocked, near = search.grid_map(solid, w, h), np.full((h, w), 0.5)
     for row in C.nearest_distance(C.grid(s, w, h), solid, 5, 0.1).toLocalIterator():
         near[row["j"], row["i"]] = row["distance_m"]
-    found = search.routes(segments(s, d), search.grid_map(solid, w, h), search.clearance_penalty(near, 0.1))
+    return blocked, near
+
+
+@query("r12_least_cost_routes", None)
+def r12(s, d):
+    """Routes between the segments' ends."""
+    blocked, near = clearance(s, d)
+    found = search.routes(segments(s, d), blocked, search.clearance_penalty(near, 0.1))
     return found.select("id", r(c("cost")).alias("cost"), F.size("cells").cast("bigint").alias("n"))
 
 
@@ -229,3 +235,16 @@ def m03(s, d):
     part = lambda name, cond, size: C.voxel_representatives(marked.where(cond), size).select(F.lit(name).alias("kind"))
     cloud = part("obstacle", c("hit"), 0.3).unionByName(part("context", ~c("hit"), 0.5))
     return cloud.groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("r16_planned_batch", None)
+def r16(s, d):
+    """Routes that keep apart, one for each nation: a third with a start, a third with a goal, the rest drawn."""
+    blocked, near = clearance(s, d)
+    plan = planner.Map(blocked, near, 0.1)
+    h, w = blocked.shape
+    place = lambda k, a, b: (k * a % w * 0.1 + 0.05, k * b % h * 0.1 + 0.05)
+    keys = [x.n_nationkey for x in T.table(s, d, "nation").select("n_nationkey").orderBy("n_nationkey").toLocalIterator()]
+    asked = [(k, place(k + 1, 37, 53) if k % 3 == 1 else None, place(k + 5, 91, 29) if k % 3 == 2 else None) for k in keys]
+    routes, _ = planner.batch(s, asked, plan, planner.Rules(min_separation=0.1))
+    return routes.select("route", "attempt", "i0", "j0", "i1", "j1", r(c("length"), 4).alias("length"), F.size("points").cast("bigint").alias("n"))
