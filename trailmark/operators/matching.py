@@ -41,13 +41,13 @@ def in_ranges(frames: DataFrame, ranges: DataFrame, index: str, first: str, last
 
 
 def within(left: DataFrame, right: DataFrame, distance: float, left_id: str, right_id: str) -> DataFrame:
-    """Pairs of points (x, z) at most ``distance`` apart, by cells of that size and their neighbours."""
+    """Pairs of points (x, z) at most ``distance`` apart, by cells of that size and their neighbours. Both sides are shuffled: neither need fit in memory."""
     at = lambda c: F.floor(F.col(c) / distance)
     near = F.sequence(F.lit(-1), F.lit(1))
     a = left.select(F.col(left_id).alias("left_id"), F.col("x").alias("ax"), F.col("z").alias("az"), F.explode(F.transform(near, lambda d: at("x") + d)).alias("ci"), at("z").alias("__j")).select("left_id", "ax", "az", "ci", F.explode(F.transform(near, lambda d: F.col("__j") + d)).alias("cj"))
     b = right.select(F.col(right_id).alias("right_id"), F.col("x").alias("bx"), F.col("z").alias("bz"), at("x").alias("ci"), at("z").alias("cj"))
     d2 = (F.col("ax") - F.col("bx")) * (F.col("ax") - F.col("bx")) + (F.col("az") - F.col("bz")) * (F.col("az") - F.col("bz"))
-    return a.join(b, ["ci", "cj"]).withColumn("d2", d2).where(F.col("d2") <= distance * distance).select("left_id", "right_id", "d2")
+    return a.join(b.hint("merge"), ["ci", "cj"]).withColumn("d2", d2).where(F.col("d2") <= distance * distance).select("left_id", "right_id", "d2")
 
 
 def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
