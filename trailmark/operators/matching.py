@@ -50,6 +50,13 @@ def within(left: DataFrame, right: DataFrame, distance: float, left_id: str, rig
     return a.join(b.hint("merge"), ["ci", "cj"]).withColumn("d2", d2).where(F.col("d2") <= distance * distance).select("left_id", "right_id", "d2")
 
 
+def least_within(points: DataFrame, distance: float, key: str) -> DataFrame:
+    """points (x, z, ...) with ``least``: the smallest key at most ``distance`` away, its own included. Points of one place are compared once."""
+    places = points.groupBy("x", "z").agg(F.min(key).alias("least")).withColumn("place", F.struct("x", "z"))
+    near = within(places, places, distance, "place", "least").groupBy("left_id").agg(F.min("right_id").alias("least"))
+    return points.join(near.select("left_id.x", "left_id.z", "least"), ["x", "z"], "left")
+
+
 def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
     """Rows side by side in their orders (n from 0), over a full outer join, so that a length mismatch shows as nulls."""
     number = lambda d, o: ordinals(d, o).withColumnRenamed("ordinal", "n")

@@ -80,9 +80,8 @@ def f12(s, d):
 
 @query("f13_endpoint_reasons", "SELECT id, CASE WHEN EXISTS (SELECT 1 FROM splats b WHERE b.id < a.id AND (a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z) <= 0.0025) THEN 'too close' WHEN x < 1 THEN 'outside' ELSE 'accepted' END AS reason FROM splats a", "splats")
 def f13(s, d):
-    g = T.splats(s, d)
-    close = M.within(g, g, 0.05, "id", "id").where("left_id < right_id").select(c("right_id").alias("id")).distinct().withColumn("close", F.lit(True))
-    return g.join(close, "id", "left").select("id", F.when(c("close"), "too close").when(c("x") < 1, "outside").otherwise("accepted").alias("reason"))
+    g = M.least_within(T.splats(s, d), 0.05, "id")
+    return g.select("id", F.when(c("least") < c("id"), "too close").when(c("x") < 1, "outside").otherwise("accepted").alias("reason"))
 
 
 @query("f14_record_reasons", "SELECT id, CASE WHEN NOT isfinite(length) THEN 'not finite' WHEN length < 5 THEN 'too short' WHEN length > 50 THEN 'too long' WHEN status = 'P' THEN 'collision' WHEN seed % 10 = 0 THEN 'count mismatch' END AS reason FROM routes", "routes")
