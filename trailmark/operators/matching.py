@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cells import widened
 from .sequences import ordinals
 
 #: Cell tables below this many rows may be broadcast.
@@ -57,6 +58,22 @@ def least_within(points: DataFrame, distance: float, key: str) -> DataFrame:
     return points.join(near.select("left_id.x", "left_id.z", "least"), ["x", "z"], "left")
 
 
+def nearest(left: DataFrame, right: DataFrame) -> DataFrame:
+    """left (x, z, ...) with ``d2``, the squared distance to the nearest point of right; no rows where right is empty.
+
+    Points of one place are searched for once, at first within the spacing of right's places, so that a place meets few others.
+    """
+    place = lambda d: d.select("x", "z").distinct().withColumn("place", F.struct("x", "z"))
+    asked, given = place(left), place(right)
+    size = given.agg(F.count("*").alias("n"), (F.max("x") - F.min("x")).alias("w"), (F.max("z") - F.min("z")).alias("h")).first()
+    once = lambda todo, radius: within(todo, given, radius, "place", "place").groupBy(F.col("left_id").alias("place")).agg(F.min("d2").alias("d2"))
+    if size.n:
+        near = widened(once, asked, ["place"], max((size.w * size.h / size.n) ** 0.5, max(size.w, size.h) / size.n) or 1.0)[0]
+    else:
+        near = once(asked, 1.0)
+    return left.join(near.select("place.x", "place.z", "d2"), ["x", "z"])
+
+
 def positional(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
     """Rows side by side in their orders (n from 0), over a full outer join, so that a length mismatch shows as nulls."""
     number = lambda d, o: ordinals(d, o).withColumnRenamed("ordinal", "n")

@@ -63,9 +63,8 @@ def j03(s, d):
 @query("j10_nearest_occupied", "SELECT a.id, round(sqrt(min((a.x - b.x) * (a.x - b.x) + (a.z - b.z) * (a.z - b.z))), 6) AS metres FROM splats a, splats b WHERE a.id % 2 = 0 AND b.id % 2 = 1 GROUP BY 1", "splats")
 def j10(s, d):
     g = T.splats(s, d).where("abs(x) < double('inf') and abs(z) < double('inf')")  # other points are near none
-    left, right = g.where("id % 2 = 0"), g.where("id % 2 = 1")
-    once = lambda todo, radius: M.within(todo, right, radius, "id", "id").groupBy(c("left_id").alias("id")).agg(r(F.sqrt(F.min("d2"))).alias("metres"))
-    return once(left, 0.25) if right.isEmpty() else C.widened(once, left, ["id"], 0.25)[0]
+    near = M.nearest(g.where("id % 2 = 0"), g.where("id % 2 = 1"))
+    return near.groupBy("id").agg(r(F.sqrt(F.min("d2"))).alias("metres"))
 
 
 @query("a01_cell_counts", "SELECT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j, count(*) AS n FROM points GROUP BY ALL", "points")
