@@ -24,8 +24,7 @@ def obstacles(s, d):
 
 
 def region(s, d):
-    x, z = grid.cell_centre(c("i"), 0.0, 0.1), grid.cell_centre(c("j"), 0.0, 0.1)
-    return C.grid(s, *T.extent(s, d)).where(C.in_polygon(x, z, ROI))
+    return C.polygon_cells(s, ROI, (0.0, 0.0), 0.1, *T.extent(s, d))
 
 
 @query("f01_rectangle", "SELECT l_orderkey, round(x, 6) AS x, round(z, 6) AS z FROM points WHERE x BETWEEN 2 AND 8 AND z BETWEEN 1 AND 5", "points")
@@ -139,7 +138,7 @@ def free_cells(s, d):
 
 @query("u07_mask_algebra", f", {_CELLS}, {_GRID}, {_GROUND}, {_WIDE} SELECT i, j FROM wide UNION SELECT i, j FROM grid ANTI JOIN ground USING (i, j)", "points")
 def u07(s, d):
-    return C.grid(s, *T.extent(s, d)).join(free_cells(s, d), ["i", "j"], "left_anti")
+    return C.complement(free_cells(s, d), *T.extent(s, d))
 
 
 @query("r01_threshold_mask", "SELECT CAST(floor(x / 0.1::DOUBLE) AS BIGINT) AS i, CAST(floor(z / 0.1::DOUBLE) AS BIGINT) AS j FROM points GROUP BY ALL HAVING count(*) >= 3", "points")
