@@ -113,7 +113,7 @@ o AS (SELECT reach.*, CASE WHEN j = greatest(0, qj - ring) THEN 0 WHEN j = least
 SELECT qi * 4294967296 + qj AS id, i, j FROM o QUALIFY row_number() OVER (PARTITION BY qi, qj ORDER BY ring, d2, side, CASE WHEN side < 2 THEN i ELSE j END) = 1""", "points")
 def t09(s, d):
     solid, (w, h) = obstacles(s, d), T.extent(s, d)
-    return C.nearest_free(solid.select((c("i") * F.lit(1 << 32) + c("j")).alias("id"), "i", "j"), C.complement(solid, w, h), 4, w, h)
+    return C.nearest_unblocked(solid.select((c("i") * F.lit(1 << 32) + c("j")).alias("id"), "i", "j"), solid, w, h)
 
 
 @query("u01_cloud_union", "SELECT 'obstacle' AS kind, count(*) AS n FROM points WHERE y < -2.0 UNION ALL SELECT 'context', count(*) FROM points WHERE NOT y < -2.0", "points")
