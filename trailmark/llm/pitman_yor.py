@@ -10,12 +10,14 @@ types of a word meet there, so the root's customers are known, and the places of
 spread over ranges, and each sweep sums them by owners, which are ranges of the contexts' hashes, and sends each range the sums of its own contexts.
 Nothing is broadcast but a few totals, and no task holds more than its types.
 Each sweep resamples customers of every type met twice or more: one after the other leaves its table and sits down anew by the
-Chinese-restaurant rule, as many times as the type has customers, MOVES times at most.  Types met once have one table always, so sweeps carry only their sums.
+Chinese-restaurant rule, as many times as the type has customers.  Types met once have one table always, so sweeps carry only their sums.
 Predictions are averaged over the kept samples, sent back to the blocks as arrays in the same order, and summed by document.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,9 @@ from . import textvec
 from .stage import collect_shuffles, discard, frugal, written
 
 BLOCK_BYTES, RANGE_TOKENS, RANGES_PER_OWNER, MERGE_TYPES = 12 << 20, 3_000_000, 4, 1 << 22
-THETA, BURN_IN, SAMPLES, MOVES = 1.0, 1, 3, 32
+THETA, BURN_IN, SAMPLES = 1.0, 1, 3
+#: With at least so many types of about as many customers, a move of all of them at once is faster than one after the other.
+TOGETHER, _CHUNK = 128, 1 << 16
 #: The end of a text, as a word hash.
 END = np.uint64(0x5EED_0E0F_7E87_0001)
 _TOKENS = "block long, n_tokens long, n_train long, docs binary, nulls binary, held binary, lengths binary, tokens binary, vocab binary, counts binary"
@@ -249,8 +253,44 @@ def _places(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
+def _reseated(seats: array, sizes: list, pull, discount: float, rng) -> tuple[int, list]:
+    """As often as one type has customers, one of them, drawn at random, leaves and is seated anew. seats: each customer's table; pull(tables): the weight of a new table."""
+    c, t, free = len(seats), len(sizes), []
+    for start in range(0, c, _CHUNK):
+        n = min(_CHUNK, c - start)
+        leaves, sits = (rng.random(n) * c).astype(np.int64).tolist(), rng.random(n).tolist()
+        picks, holds = (rng.random(n) * (c - 1)).astype(np.int64).tolist(), rng.random(n).tolist()
+        for k in range(n):
+            if k % 8 == 0:
+                weight = pull(t)
+            gone = leaves[k]
+            own = seats[gone]
+            sizes[own] -= 1
+            if not sizes[own]:
+                free.append(own)
+                t -= 1
+            if sits[k] * (c - 1 - discount * t + weight) < weight:
+                to = free.pop() if free else len(sizes)
+                if to == len(sizes):
+                    sizes.append(0)
+                t += 1
+            else:
+                pick, hold = picks[k], holds[k]
+                while True:
+                    to = seats[pick + (pick >= gone)]
+                    if hold * sizes[to] < sizes[to] - discount:
+                        break
+                    pick, hold = int(rng.random() * (c - 1)), rng.random()
+            seats[gone] = to
+            sizes[to] += 1
+    return t, [s for s in sizes if s]
+
+
 def _moved(counts, tables, sizes, word, fresh, base, totals, rng):
-    """A sweep: types of about as many customers together, each reseating as many as it has, MOVES at most. The root's customers follow every few moves."""
+    """A sweep: types of about as many customers together, each reseating as many as it has. The root's customers follow every few moves.
+
+    Many types move side by side, customer by customer; the few with many customers move by themselves.
+    """
     served = base + _sum(word, len(base), tables)
     tables, starts, parts = tables.copy(), np.cumsum(tables) - tables, []
     order = np.argsort(counts, kind="stable")
@@ -261,13 +301,23 @@ def _moved(counts, tables, sizes, word, fresh, base, totals, rng):
             continue
         t, c = tables[own], counts[own]
         size = sizes[_places(starts[own], t)]
-        before = t
-        for k in range(min(int(c.max()), MOVES)):
-            if k % 8 == 0:
-                served += _sum(word[own], len(base), t - before)
-                before, pull = t, fresh[own] * totals.root_probability(served)[word[own]]
-            t, size = _gibbs(c, t, size, pull, totals.discount, rng)
-        served += _sum(word[own], len(base), t - before)
+        if len(own) < TOGETHER:
+            cuts, made = np.cumsum(t), []
+            for x, table in zip(own.tolist(), np.split(size, cuts[:-1]), strict=True):
+                w, others = int(word[x]), int(served[word[x]] - tables[x])
+                pull = lambda n, w=w, others=others, share=float(fresh[x]): share * totals.word_probability(others + n)
+                n, kept = _reseated(array("i", np.repeat(np.arange(len(table), dtype=np.int32), table).tobytes()), table.tolist(), pull, totals.discount, rng)
+                served[w] = others + n
+                made.append(np.array(kept, np.int64))
+            t, size = np.array([len(x) for x in made]), np.concatenate(made)
+        else:
+            before = t
+            for k in range(int(c.max())):
+                if k % 8 == 0:
+                    served += _sum(word[own], len(base), t - before)
+                    before, pull = t, fresh[own] * totals.root_probability(served)[word[own]]
+                t, size = _gibbs(c, t, size, pull, totals.discount, rng)
+            served += _sum(word[own], len(base), t - before)
         tables[own] = t
         parts.append((own, t, size))
     starts = np.cumsum(tables) - tables
@@ -377,6 +427,10 @@ class Totals:
         self.discount = float(np.clip(once / (once + 2 * twice) if once else 0.5, 0.05, 0.95))
         self.root_discount = float(np.clip(root_once / (root_once + 2 * root_twice) if root_once else 0.5, 0.05, 0.95))
 
+    def word_probability(self, served: int) -> float:
+        """root_probability of one word; root's sum is the sweep's."""
+        return (served - self.root_discount if served > 0 else THETA + self.root_discount * self.words) / (THETA + self.root)
+
     def root_probability(self, served: np.ndarray) -> np.ndarray:
         """Of words by their customers at the root; a word without any has the probability of a new table."""
         return np.where(served > 0, served - self.root_discount, THETA + self.root_discount * self.words) / (THETA + self.root)
